@@ -1,0 +1 @@
+"""Reserved: the workload is batch only, so there are no streaming operators."""
