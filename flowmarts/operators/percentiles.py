@@ -18,13 +18,17 @@ then holds about a million representable doubles for values of size 1 and above.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowmarts.functions.lookups import first_match
+
 GROUP = "attack_category"
+_KEY = (GROUP, "metric")
 
 _COARSE = 4096.0  # buckets per factor of e
 _FINE = float(2**20)  # sub-buckets per bucket
@@ -37,74 +41,94 @@ def _coarse(value: Column) -> Column:
     return F.when(F.isnan(x), F.lit(_NAN_BUCKET)).otherwise(bucket)
 
 
-def _fine(value: Column, bucket: Column) -> Column:
-    x = value.cast("double")
+def _fine(x: Column, bucket: Column) -> Column:
     base = F.signum(bucket) * F.expm1(F.abs(bucket) / _COARSE)
     place = F.floor((x - base) * (_COARSE * _FINE) / (F.abs(base) + 1))
     return F.when(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(0)).otherwise(place)
 
 
-def _at_rank(counts: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
+def _at_rank(counts: DataFrame, position: Sequence[str]) -> DataFrame:
     """The row of each key at whose ``position`` the running count reaches ``rank``,
     with ``rank`` made relative to that row."""
     running = (
-        Window.partitionBy(*keys)
-        .orderBy(position)
+        Window.partitionBy(*_KEY, "p")
+        .orderBy(*position)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     below = counts.withColumn("below", F.sum("n").over(running) - F.col("n"))
-    hit = below.filter((F.col("below") < F.col("rank")) & (F.col("rank") <= F.col("below") + F.col("n")))
-    return hit.withColumn("rank", F.col("rank") - F.col("below")).drop("n", "below")
+    rank, start = F.col("rank"), F.col("below")
+    hit = below.filter((start < rank) & (rank <= start + F.col("n")))
+    return hit.withColumn("rank", rank - start).drop("n", "below")
 
 
-def _matching(rows: DataFrame, found: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of the buckets found so far.
+def _inside(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows whose coarse bucket was found, with all columns of ``found``.
 
-    ``found`` has one row per category and percentile; categories come from a
+    ``found`` has one row per category, metric and percentile; categories come from a
     closed list of ten, so the broadcast is a few dozen rows at any data size.
     """
-    right = found.withColumnsRenamed({c: f"_{c}" for c in columns})
-    same = F.lit(True)
-    for c in columns:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return rows.join(F.broadcast(right), same).drop(*[f"_{c}" for c in columns])
-
-
-def exact_percentiles(flows: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
-    """Rows (attack_category, p, value): the smallest value whose cumulative share of
-    the category's non-null values reaches ``p``."""
-    rows = flows.select(GROUP, F.col(column).alias("value")).filter(F.col("value").isNotNull())
-    rows = rows.withColumn("coarse", _coarse(F.col("value")))
-
-    ranks = [
-        F.struct(
-            F.lit(p).alias("p"),
-            F.ceil(F.lit(Decimal(str(p))) * F.col("total")).cast("bigint").alias("rank"),
-        )
-        for p in probabilities
-    ]
+    left = rows.withColumnsRenamed({c: f"_{c}" for c in (*_KEY, "coarse")})
+    same = [F.col(f"_{c}").eqNullSafe(F.col(c)) for c in (*_KEY, "coarse")]
+    return left.join(F.broadcast(found), same)
+
+
+def exact_percentiles(
+    flows: DataFrame, metrics: Mapping[str, Sequence[float]]
+) -> DataFrame:
+    """Rows (attack_category, metric, p, one column per metric).
+
+    ``metrics`` maps a numeric column to its percentiles.  The result of a percentile
+    is the smallest value whose cumulative share of the category's non-null values
+    reaches ``p``; it stands, with its own type, in the column of its metric.
+    """
+    types = dict(flows.dtypes)
+
+    def values_of(column: str) -> DataFrame:
+        # Each branch scans its own column only.
+        slots = [F.col(c) if c == column else F.lit(None).cast(types[c]).alias(c) for c in metrics]
+        present = flows.filter(F.col(column).isNotNull())
+        place = _coarse(F.col(column)).alias("coarse")
+        exact = F.col(column).cast("double").alias("x")
+        return present.select(GROUP, F.lit(column).alias("metric"), place, exact, *slots)
+
+    def wanted(column: str) -> Column:
+        rank_of = [
+            F.struct(
+                F.lit(p).alias("p"),
+                F.ceil(F.lit(Decimal(str(p))) * F.col("total")).cast("bigint").alias("rank"),
+            )
+            for p in metrics[column]
+        ]
+        return F.array(*rank_of)
+
+    rows = reduce(DataFrame.unionByName, [values_of(c) for c in metrics])
+    ranks = first_match(
+        [(F.col("metric") == c, wanted(c)) for c in metrics], F.lit(None)
+    )
     first = (
-        rows.groupBy(GROUP, "coarse")
+        rows.groupBy(*_KEY, "coarse")
         .agg(F.count("*").alias("n"))
-        .withColumn("total", F.sum("n").over(Window.partitionBy(GROUP)))
-        .select(GROUP, "coarse", "n", F.inline(F.array(*ranks)))
+        .withColumn("total", F.sum("n").over(Window.partitionBy(*_KEY)))
+        .select(*_KEY, "coarse", "n", F.inline(ranks))
     )
-    bucket = _at_rank(first, [GROUP, "p"], "coarse")
+    bucket = _at_rank(first, ["coarse"])
 
-    rows = rows.withColumn("fine", _fine(F.col("value"), F.col("coarse")))
+    # The sub-bucket is computed from the found side, so only for rows that matched.
+    fine = _fine(F.col("x"), F.col("coarse"))
     second = (
-        _matching(rows, bucket, [GROUP, "coarse"])
-        .groupBy(GROUP, "p", "rank", "coarse", "fine")
+        _inside(rows, bucket)
+        .groupBy(*_KEY, "p", "rank", "coarse", fine.alias("fine"))
         .agg(F.count("*").alias("n"))
     )
-    sub_bucket = _at_rank(second, [GROUP, "p"], "fine")
+    sub_bucket = _at_rank(second, ["fine"])
 
     third = (
-        _matching(rows, sub_bucket, [GROUP, "coarse", "fine"])
-        .groupBy(GROUP, "p", "rank", "value")
+        _inside(rows, sub_bucket)
+        .filter(fine == F.col("fine"))
+        .groupBy(*_KEY, "p", "rank", *metrics)
         .agg(F.count("*").alias("n"))
     )
-    return _at_rank(third, [GROUP, "p"], "value").select(GROUP, "p", "value")
+    return _at_rank(third, list(metrics)).select(*_KEY, "p", *metrics)
 
 
 # Percentiles of the report.
@@ -114,20 +138,19 @@ DURATION_PERCENTILES = (0.5, 0.9)
 
 def flow_percentiles_exact(flows: DataFrame) -> DataFrame:
     """p50, p90 and p99 of the byte rate, p50 and p90 of the duration per category."""
+    found = exact_percentiles(
+        flows, {"flow_bytes_s": BYTES_PERCENTILES, "flow_duration": DURATION_PERCENTILES}
+    )
 
-    def wide(column: str, probabilities: Sequence[float], digits: int, suffix: str) -> DataFrame:
-        found = exact_percentiles(flows, column, probabilities)
-        return found.groupBy(GROUP).agg(
-            *[
-                F.round(F.max(F.when(F.col("p") == p, F.col("value"))), digits).alias(
-                    f"p{int(p * 100)}_{suffix}"
-                )
-                for p in probabilities
-            ]
-        )
+    def column(metric: str, p: float, digits: int, suffix: str) -> Column:
+        value = F.max(F.when((F.col("metric") == metric) & (F.col("p") == p), F.col(metric)))
+        return F.round(value, digits).alias(f"p{int(p * 100)}_{suffix}")
 
-    both = wide("flow_bytes_s", BYTES_PERCENTILES, 2, "bytes").unionByName(
-        wide("flow_duration", DURATION_PERCENTILES, 0, "duration_us"), allowMissingColumns=True
+    return (
+        found.groupBy(GROUP)
+        .agg(
+            *[column("flow_bytes_s", p, 2, "bytes") for p in BYTES_PERCENTILES],
+            *[column("flow_duration", p, 0, "duration_us") for p in DURATION_PERCENTILES],
+        )
+        .orderBy(F.col("p99_bytes").desc(), GROUP)
     )
-    merged = both.groupBy(GROUP).agg(*[F.max(c).alias(c) for c in both.columns if c != GROUP])
-    return merged.orderBy(F.col("p99_bytes").desc(), GROUP)

@@ -39,7 +39,7 @@ from summaries
 order by p99_bytes desc, attack_category
 """
 
-DEFAULT_ACCURACY = 100_000
+DEFAULT_ACCURACY = 10_000  # Spark's own default
 
 
 def sql_attack_profile(flows: DataFrame, view: str = VIEW) -> DataFrame:
@@ -54,7 +54,7 @@ def flow_percentiles(
     """Percentiles from ``percentile_approx``: actual values with rank error 1/accuracy.
 
     Every input split sends a summary of up to some ``accuracy`` entries per category
-    to the task of that category.  Lower the accuracy on many splits, or take
+    to the task of that category.  On very many splits lower the accuracy, or take
     ``operators.percentiles.flow_percentiles_exact``, which has no such funnel.
     """
     register_flow_view(flows, view)

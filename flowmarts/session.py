@@ -19,8 +19,7 @@ DEFAULTS = {
 
 
 def get_spark(app: str = "flowmarts", **conf: str) -> SparkSession:
-    """Session with ``DEFAULTS``; keyword arguments win (``_`` stands for ``.``
-    only when the key has no dot, so pass real keys as ``**{"spark.x": "y"}``)."""
+    """Session with ``DEFAULTS``; settings given as ``**{"spark.x": "y"}`` win."""
     builder = SparkSession.builder.appName(app)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
@@ -40,6 +39,4 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    fresh = tempfile.mkdtemp(prefix="flowmarts-")
-    spark.conf.set("spark.checkpoint.dir", fresh)
-    return fresh
+    return tempfile.mkdtemp(prefix="flowmarts-")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,19 @@ def mart_path(base: str, job: str, mart: str) -> str:
 
 
 def write_marts(base: str, job: str, marts: Mapping[str, DataFrame], fmt: str = "json") -> None:
-    """One folder per mart, written by the executors; nothing passes the driver."""
-    for name, mart in marts.items():
-        mart.write.mode("overwrite").format(fmt).save(mart_path(base, job, name))
+    """One folder per mart, written by the executors; nothing passes the driver.
+
+    The writes are submitted together, so that short marts run beside a long one.
+    All are attempted; the first failure is raised at the end.
+    """
+
+    def write(name: str) -> None:
+        marts[name].write.mode("overwrite").format(fmt).save(mart_path(base, job, name))
+
+    with ThreadPoolExecutor(max_workers=max(1, len(marts))) as pool:
+        pending = [pool.submit(write, name) for name in marts]
+    for outcome in pending:
+        outcome.result()
 
 
 def read_mart(spark: SparkSession, base: str, job: str, mart: str, fmt: str = "json") -> DataFrame:
