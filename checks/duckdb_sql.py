@@ -179,6 +179,13 @@ select source_ip, count(*) as total_flows,
              / count(*) * 100, 1) as attack_ratio
 from flows group by source_ip"""
 
+_CORRELATION = f"""
+select source_ip, total_flows, attack_flows, unique_ports_targeted, attack_ratio,
+       primary_target_port, port_count
+from ({_IP_STATS}) left join ({_TOP_PORT}) using (source_ip)
+where attack_ratio > 50
+order by attack_flows desc, source_ip, primary_target_port limit 100"""
+
 _PROFILE = """
 select attack_category, count(*) as total_flows,
        count(distinct source_ip) as unique_src_ips,
@@ -416,13 +423,8 @@ from flows""",
     ),
     "ip_profile": _flows(_IP_STATS),
     "top_port_per_ip": _flows(_TOP_PORT),
-    "ip_port_correlation": _flows(
-        f"""select source_ip, total_flows, attack_flows, unique_ports_targeted, attack_ratio,
-  primary_target_port, port_count
-from ({_IP_STATS}) left join ({_TOP_PORT}) using (source_ip)
-where attack_ratio > 50
-order by attack_flows desc, source_ip, primary_target_port limit 100"""
-    ),
+    "ip_port_correlation": _flows(_CORRELATION),
+    "ip_port_correlation_joined": _flows(_CORRELATION),
     # password guessing
     "brute_total": _flows(f"select count(*) as brute_flows {_BRUTE}"),
     "brute_ports_top": _flows(

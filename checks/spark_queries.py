@@ -305,6 +305,7 @@ QUERIES: dict[str, Query] = {
     "ip_profile": _on_flows(ip.ip_profile),
     "top_port_per_ip": _on_flows(ip.top_port_per_ip),
     "ip_port_correlation": _on_flows(ip.ip_port_correlation),
+    "ip_port_correlation_joined": _on_flows(ip.ip_port_correlation_joined),
     # password guessing
     "brute_total": _on_flows(bruteforce.brute_total),
     "brute_ports_top": _on_flows(bruteforce.brute_ports_top),

@@ -228,13 +228,44 @@ def ip_port_correlation(
     """Mostly hostile addresses with their primary port(s), ``k`` rows.
 
     The ratio is compared after rounding.  An address with tied ports has a row for
-    each.  Both sides come from the same rollup, whose shuffle Spark reuses, so the
-    flows are scanned once.
+    each.  Totals and ranks are windows over the address-and-port rollup, so there is
+    one scan, and an address brings at most 65,537 rows to its task.
     """
+    address = Window.partitionBy(IP)
+    most_used = address.orderBy(F.col(WEIGHT).desc())
+    known = F.col(IP).isNotNull()
+    # Flows without an address have no primary port: one row stands for them.
+    place = F.when(known, F.rank().over(most_used)).otherwise(F.row_number().over(most_used))
+    profiled = _port_counts(flows).select(
+        IP,
+        F.sum(WEIGHT).over(address).alias("total_flows"),
+        F.sum("attack_weight").over(address).alias("attack_flows"),
+        F.count("destination_port").over(address).alias("unique_ports_targeted"),
+        F.when(known, F.col("destination_port")).alias("primary_target_port"),
+        F.when(known, F.col(WEIGHT)).alias("port_count"),
+        place.alias("place"),
+    )
+    ratio = percent(F.col("attack_flows"), F.col("total_flows"), 1)
+    return _top_correlated(profiled.filter("place = 1").withColumn("attack_ratio", ratio), k, min_ratio)
+
+
+def ip_port_correlation_joined(
+    flows: DataFrame, k: int = TOP_CORRELATED, min_ratio: float = 50
+) -> DataFrame:
+    """The correlation as address profile LEFT JOIN primary ports."""
     counts = _port_counts(flows)
-    hostile = ip_profile(counts).filter(F.col("attack_ratio") > min_ratio)
-    return (
-        hostile.join(top_port_per_ip(counts), IP, "left")
-        .orderBy(F.col("attack_flows").desc(), IP, "primary_target_port")
-        .limit(k)
+    return _top_correlated(ip_profile(counts).join(top_port_per_ip(counts), IP, "left"), k, min_ratio)
+
+
+def _top_correlated(profiled: DataFrame, k: int, min_ratio: float) -> DataFrame:
+    columns = (
+        IP,
+        "total_flows",
+        "attack_flows",
+        "unique_ports_targeted",
+        "attack_ratio",
+        "primary_target_port",
+        "port_count",
     )
+    hostile = profiled.filter(F.col("attack_ratio") > min_ratio).select(*columns)
+    return hostile.orderBy(F.col("attack_flows").desc(), IP, "primary_target_port").limit(k)

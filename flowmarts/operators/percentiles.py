@@ -32,13 +32,14 @@ _KEY = (GROUP, "metric")
 
 _COARSE = 4096.0  # buckets per factor of e
 _FINE = float(2**20)  # sub-buckets per bucket
-_NAN_BUCKET = 2**62  # NaN sorts after every number
+_LAST_BUCKET = 2**40  # of infinity; NaN sorts after every number, in the next one
 
 
 def _coarse(value: Column) -> Column:
     x = value.cast("double")
     bucket = F.floor(F.signum(x) * F.log1p(F.abs(x)) * _COARSE)
-    return F.when(F.isnan(x), F.lit(_NAN_BUCKET)).otherwise(bucket)
+    bounded = F.greatest(F.least(bucket, F.lit(_LAST_BUCKET)), F.lit(-_LAST_BUCKET))
+    return F.when(F.isnan(x), F.lit(_LAST_BUCKET + 1)).otherwise(bounded)
 
 
 def _fine(x: Column, bucket: Column) -> Column:
@@ -88,7 +89,7 @@ def exact_percentiles(
         slots = [F.col(c) if c == column else F.lit(None).cast(types[c]).alias(c) for c in metrics]
         present = flows.filter(F.col(column).isNotNull())
         place = _coarse(F.col(column)).alias("coarse")
-        exact = F.col(column).cast("double").alias("x")
+        exact = F.col(column).cast("double").alias("_x")
         return present.select(GROUP, F.lit(column).alias("metric"), place, exact, *slots)
 
     def wanted(column: str) -> Column:
@@ -114,7 +115,7 @@ def exact_percentiles(
     bucket = _at_rank(first, ["coarse"])
 
     # The sub-bucket is computed from the found side, so only for rows that matched.
-    fine = _fine(F.col("x"), F.col("coarse"))
+    fine = _fine(F.col("_x"), F.col("coarse"))
     second = (
         _inside(rows, bucket)
         .groupBy(*_KEY, "p", "rank", "coarse", fine.alias("fine"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -29,6 +30,26 @@ def rename_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*unique_names(df.columns))
 
 
+def capture_headers(spark: SparkSession, path: str, glob: str) -> tuple[tuple[str, ...], bool]:
+    """Header of a path's captures as written, and whether its names are unique.
+
+    Spark shows a repeated name with its position appended.  Names that look like
+    that are compared with the first line as it stands.
+    """
+    reader = spark.read.option("pathGlobFilter", glob)
+    shown = reader.option("header", True).csv(path).columns
+    stems = {i: h.removesuffix(str(i)) for i, h in enumerate(shown) if h.endswith(str(i))}
+    common = Counter(stem.lower() for stem in stems.values())
+    restored = [
+        stems[i] if i in stems and common[stems[i].lower()] > 1 else h for i, h in enumerate(shown)
+    ]
+    if restored != shown:
+        first_line = reader.option("header", False).csv(path).first()
+        if list(first_line) == restored:
+            return tuple(restored), False
+    return tuple(shown), True
+
+
 def read_raw_flows(
     spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv"
 ) -> DataFrame:
@@ -37,29 +58,25 @@ def read_raw_flows(
     Each path (file, folder or pattern) holds captures with one header.  Paths with
     equal headers form a single scan, the others are united by column name with
     nulls for what a capture lacks.  Cost on the driver is one header line per path.
-    A file whose header differs from its path's is an error, not shifted data.
+    A file whose header differs from its path's is an error, not shifted data; only
+    where names repeat are columns taken by position.
 
     Everything is read as text: no inference pass, and damaged numbers reach
     ``ingest`` instead of turning a whole column to text.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
+    by_header: dict[tuple[tuple[str, ...], bool], list[str]] = {}
     for path in [paths] if isinstance(paths, str) else paths:
-        probe = spark.read.options(header=True, pathGlobFilter=glob).csv(path)
-        by_header.setdefault(tuple(probe.columns), []).append(path)
+        by_header.setdefault(capture_headers(spark, path, glob), []).append(path)
 
     scans = []
-    for headers, group in by_header.items():
-        schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-        scan = spark.read.options(header=True, enforceSchema=False, pathGlobFilter=glob)
+    for (headers, unique), group in by_header.items():
         names = unique_names(headers)
-        scans.append(
-            scan.schema(schema)
-            .csv(group)
-            .select(
-                *[F.col(f"`{h}`").alias(n) for h, n in zip(headers, names)],
-                F.col("_metadata.file_name").alias("source_file"),
-            )
-        )
+        fields = headers if unique else names
+        schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
+        reader = spark.read.options(header=True, enforceSchema=not unique, pathGlobFilter=glob)
+        columns = [F.col(f"`{f}`").alias(n) for f, n in zip(fields, names)]
+        file_name = F.col("_metadata.file_name").alias("source_file")
+        scans.append(reader.schema(schema).csv(group).select(*columns, file_name))
     return union_captures(*scans)
 
 
