@@ -184,7 +184,7 @@ select source_ip, total_flows, attack_flows, unique_ports_targeted, attack_ratio
        primary_target_port, port_count
 from ({_IP_STATS}) left join ({_TOP_PORT}) using (source_ip)
 where attack_ratio > 50
-order by attack_flows desc, source_ip, primary_target_port limit 100"""
+order by attack_flows desc, source_ip, primary_target_port limit {{k}}"""
 
 _PROFILE = """
 select attack_category, count(*) as total_flows,
@@ -301,6 +301,7 @@ from raw where flow_bytes_s is not null and flow_packets_s is not null"""
 from raw"""
     ),
     "write_flows": _flows(f"select {COLUMNS} from flows"),
+    "scan_flows_csv": _flows(f"select {COLUMNS} from flows"),
     "write_marts": _flows(
         """select 'top_ports' as mart, count(*) as n, cast(sum(total_flows) as bigint) as flows from (
   select destination_port, count(*) as total_flows from flows group by destination_port
@@ -390,6 +391,7 @@ from flows group by source_ip, attack_category"""
     "ip_threat_profile_joined": _flows(f"select {_PROFILE_COLUMNS} from ip_graded", _IP_PROFILE),
     "top_suspicious_ips": _flows(_TOP_HIGH.format(k=50), _IP_PROFILE),
     "top_suspicious_15": _flows(_TOP_HIGH.format(k=15), _IP_PROFILE),
+    "top_suspicious_30": _flows(_TOP_HIGH.format(k=30), _IP_PROFILE),
     "ip_class": _flows(
         """select *, case when attack_flows >= 10 then 'malicious' when attack_flows = 0 then 'clean'
   when benign_flows > 0 then 'mixed' end as ip_class
@@ -423,8 +425,9 @@ from flows""",
     ),
     "ip_profile": _flows(_IP_STATS),
     "top_port_per_ip": _flows(_TOP_PORT),
-    "ip_port_correlation": _flows(_CORRELATION),
-    "ip_port_correlation_joined": _flows(_CORRELATION),
+    "ip_port_correlation": _flows(_CORRELATION.format(k=100)),
+    "ip_port_correlation_20": _flows(_CORRELATION.format(k=20)),
+    "ip_port_correlation_joined": _flows(_CORRELATION.format(k=100)),
     # password guessing
     "brute_total": _flows(f"select count(*) as brute_flows {_BRUTE}"),
     "brute_ports_top": _flows(
@@ -469,6 +472,9 @@ from flows group by attack_category"""
     "top_ips_per_attack": _flows(_RANKED),
     "top_ips_of_category": _flows(f"select * from ({_RANKED}) where attack_category = 'DDoS'"),
     "hourly_attack_delta": _flows(_DELTA.format(hours="hourly"), _HOURLY),
+    "hourly_delta_of_category": _flows(
+        f"select * from ({_DELTA.format(hours='hourly')}) where attack_category = 'DDoS'", _HOURLY
+    ),
     "hourly_attack_delta_dense": _flows(
         _DELTA.format(hours="dense"),
         _HOURLY,

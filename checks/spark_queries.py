@@ -123,10 +123,16 @@ def _union_days(raw: DataFrame) -> DataFrame:
     ).select(*columns)
 
 
-def _written_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _fresh(spark, "flows")
-    flow_table.write_flows(flow_table.conform(source.flows(spark, sf_dir).drop("source_file")), path)
-    return flow_table.read_flows(spark, path).select(*_FLOW_COLUMNS)
+def _written_flows(fmt: str) -> Query:
+    """The table through disk: every row written, then read back with its types."""
+
+    def written(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _fresh(spark, "flows")
+        table = flow_table.conform(source.flows(spark, sf_dir).drop("source_file"))
+        flow_table.write_flows(table, path, fmt)
+        return flow_table.read_flows(spark, path, fmt).select(*_FLOW_COLUMNS)
+
+    return written
 
 
 # -- marts on disk ----------------------------------------------------------------
@@ -256,7 +262,8 @@ QUERIES: dict[str, Query] = {
         lambda raw: ingest.add_date(raw).groupBy("source_file", "date").agg(F.count("*").alias("n"))
     ),
     "union_days": _on_raw(_union_days),
-    "write_flows": _written_flows,
+    "write_flows": _written_flows("parquet"),
+    "scan_flows_csv": _written_flows("csv"),
     "write_marts": _written_marts,
     "read_marts": _read_marts,
     "view_with_headers": _view_with_headers,
@@ -297,6 +304,7 @@ QUERIES: dict[str, Query] = {
     "ip_threat_profile_joined": _on_flows(lambda f: _texted(ip.ip_threat_profile_joined(f))),
     "top_suspicious_ips": _on_flows(lambda f: _texted(ip.top_suspicious_ips(f))),
     "top_suspicious_15": _on_flows(lambda f: _texted(ip.top_suspicious_ips(f, k=15))),
+    "top_suspicious_30": _on_flows(lambda f: _texted(ip.top_suspicious_ips(f, k=30))),
     "ip_class": _on_flows(ip.ip_class),
     "threat_summary": _on_flows(ip.threat_summary),
     "threat_kpis": _on_flows(ip.threat_kpis),
@@ -305,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "ip_profile": _on_flows(ip.ip_profile),
     "top_port_per_ip": _on_flows(ip.top_port_per_ip),
     "ip_port_correlation": _on_flows(ip.ip_port_correlation),
+    "ip_port_correlation_20": _on_flows(lambda f: ip.ip_port_correlation(f, k=20)),
     "ip_port_correlation_joined": _on_flows(ip.ip_port_correlation_joined),
     # password guessing
     "brute_total": _on_flows(bruteforce.brute_total),
@@ -326,6 +335,9 @@ QUERIES: dict[str, Query] = {
         lambda f: counting.of_category(ranking.top_ips_per_attack(f), "DDoS")
     ),
     "hourly_attack_delta": _on_flows(ranking.hourly_attack_delta),
+    "hourly_delta_of_category": _on_flows(
+        lambda f: counting.of_category(ranking.hourly_attack_delta(f), "DDoS")
+    ),
     "hourly_attack_delta_dense": _on_flows(ranking.hourly_attack_delta_dense),
     "attack_running_total": _on_flows(ranking.attack_running_total),
     # SQL, severity, percentiles

@@ -30,7 +30,7 @@ def rank_levels(per_ip: DataFrame) -> DataFrame:
     return histogram.select(
         "attack_category",
         "flow_count",
-        (F.sum("addresses").over(up_to_here) - F.col("addresses") + 1).cast("int").alias("rank"),
+        (F.sum("addresses").over(up_to_here) - F.col("addresses") + 1).alias("rank"),
         F.row_number().over(larger).alias("dense_rank"),
         percent(F.col("flow_count"), flows_in_category, 2).alias("pct_of_category"),
     )
@@ -45,6 +45,7 @@ def top_ips_per_attack(flows: DataFrame, max_rank: int = TOP_RANK) -> DataFrame:
     """
     per_ip = ip_category_counts(attacks_only(flows))
     kept = rank_levels(per_ip).filter(F.col("rank") <= max_rank)
+    kept = kept.withColumn("rank", F.col("rank").cast("int"))
     return (
         per_ip.withColumnRenamed(WEIGHT, "flow_count")
         .join(F.broadcast(kept), ["attack_category", "flow_count"])
@@ -66,10 +67,16 @@ def hourly_attack_delta(flows: DataFrame) -> DataFrame:
 
 def hourly_attack_delta_dense(flows: DataFrame) -> DataFrame:
     """Change against the previous hour of the clock; hours without flows count 0."""
-    present = hourly_attacks(flows)
-    hours = F.explode(F.sequence(F.lit(0), F.lit(23)))
-    grid = present.select("attack_category").distinct().withColumn("hour", hours)
-    dense = grid.join(present, ["attack_category", "hour"], "left").na.fill(0, ["flows"])
+    # At most 24 entries per category; rows without an hour have no place on the clock.
+    entry = F.when(F.col("hour").isNotNull(), F.struct("hour", "flows"))
+    by_hour = F.map_from_entries(F.collect_list(entry)).alias("by_hour")
+    dense = (
+        hourly_attacks(flows)
+        .groupBy("attack_category")
+        .agg(by_hour)
+        .withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
+        .withColumn("flows", F.coalesce(F.element_at("by_hour", F.col("hour")), F.lit(0)))
+    )
     return _with_delta(dense.select("hour", "attack_category", "flows"))
 
 

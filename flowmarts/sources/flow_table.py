@@ -10,6 +10,9 @@ from flowmarts.sources.raw import unique_names
 
 VIEW = "network_flows"
 
+# Text keeps the full second; Spark's default layout drops microseconds.
+_CSV = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
+
 
 def read_flows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Scan the flow table without an inference pass.
@@ -19,10 +22,10 @@ def read_flows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     """
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
-    headers = spark.read.option("header", True).csv(path).columns
+    headers = spark.read.options(**_CSV).csv(path).columns
     names = unique_names(headers)
     schema = ", ".join(f"`{h}` {NAME_TO_TYPE.get(n, 'string')}" for h, n in zip(headers, names))
-    reader = spark.read.schema(schema).options(header=True, enforceSchema=False)
+    reader = spark.read.schema(schema).options(**_CSV, enforceSchema=False)
     return reader.csv(path).toDF(*names)
 
 
@@ -41,10 +44,12 @@ def write_flows(flows: DataFrame, path: str, fmt: str = "parquet") -> None:
 
     ``rebalance`` asks for one date per task but lets AQE split a date that is too
     large and join small ones, so neither a hot date nor a thousand tiny files can
-    result.  Sorting by category lets a category filter skip row groups.
+    result (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is the size aimed at).
+    Sorting by category lets a category filter skip row groups.
     """
     laid_out = flows.hint("rebalance", "date").sortWithinPartitions("date", "attack_category")
-    laid_out.write.mode("overwrite").partitionBy("date").format(fmt).save(path)
+    options = _CSV if fmt == "csv" else {}
+    laid_out.write.mode("overwrite").partitionBy("date").options(**options).format(fmt).save(path)
 
 
 def register_flow_view(flows: DataFrame, name: str = VIEW, capture_headers: bool = False) -> None:
