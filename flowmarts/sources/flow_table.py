@@ -10,8 +10,8 @@ from flowmarts.sources.raw import unique_names
 
 VIEW = "network_flows"
 
-# Text keeps the full second; Spark's default layout drops microseconds.
-_CSV = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
+# Microseconds are written out, as the default layout drops them; any ISO form is read.
+_CSV_OUT = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 
 
 def read_flows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -22,10 +22,10 @@ def read_flows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     """
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
-    headers = spark.read.options(**_CSV).csv(path).columns
+    headers = spark.read.option("header", True).csv(path).columns
     names = unique_names(headers)
     schema = ", ".join(f"`{h}` {NAME_TO_TYPE.get(n, 'string')}" for h, n in zip(headers, names))
-    reader = spark.read.schema(schema).options(**_CSV, enforceSchema=False)
+    reader = spark.read.schema(schema).options(header=True, enforceSchema=False)
     return reader.csv(path).toDF(*names)
 
 
@@ -48,7 +48,7 @@ def write_flows(flows: DataFrame, path: str, fmt: str = "parquet") -> None:
     Sorting by category lets a category filter skip row groups.
     """
     laid_out = flows.hint("rebalance", "date").sortWithinPartitions("date", "attack_category")
-    options = _CSV if fmt == "csv" else {}
+    options = _CSV_OUT if fmt == "csv" else {}
     laid_out.write.mode("overwrite").partitionBy("date").options(**options).format(fmt).save(path)
 
 
