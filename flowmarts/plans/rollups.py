@@ -9,6 +9,8 @@ and a lost executor costs a re-read, not a recomputation.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import Future, ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,27 +56,39 @@ BUILDERS = {
 
 
 class Rollups:
-    """Rollups of one flow table, each written when first asked for."""
+    """Rollups of one flow table, each written once, when first asked for."""
 
     def __init__(self, spark: SparkSession, flows: DataFrame, base: str | None = None):
         self.spark = spark
         self.flows = flows
         self.base = base or f"{shared_dir(spark)}/flowmarts-rollups-{uuid.uuid4().hex}"
-        self._written: set[str] = set()
+        self._pool = ThreadPoolExecutor(max_workers=len(BUILDERS))
+        self._writing: dict[str, Future[DataFrame]] = {}
+        self._lock = Lock()
+
+    def request(self, *names: str) -> None:
+        """Start writing the named rollups that are not under way yet."""
+        with self._lock:
+            for name in names:
+                if name not in self._writing:
+                    self._writing[name] = self._pool.submit(self._write, name)
+
+    def _write(self, name: str) -> DataFrame:
+        path = f"{self.base}/{name}"
+        rollup = BUILDERS[name](self.flows)
+        rollup.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rollup.schema).parquet(path)
 
     def __getitem__(self, name: str) -> DataFrame:
-        path = f"{self.base}/{name}"
-        if name not in self._written:
-            BUILDERS[name](self.flows).write.mode("overwrite").parquet(path)
-            self._written.add(name)
-        return self.spark.read.parquet(path)
+        self.request(name)
+        return self._writing[name].result()
 
     def drop(self) -> None:
         """Remove the tables written here."""
+        self._pool.shutdown(wait=True)
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.base)
         hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
         folder.getFileSystem(hadoop).delete(folder, True)
-        self._written.clear()
 
 
 def attack_profile(

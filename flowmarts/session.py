@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the call site of every column expression doubles plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
