@@ -7,7 +7,7 @@ added, so that two copies of a row cannot differ by them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,11 +33,15 @@ def coerce_rates(raw: DataFrame) -> DataFrame:
     return raw.withColumns({c: finite_double(F.col(c)) for c in RATE_COLUMNS})
 
 
-def type_columns(raw: DataFrame) -> DataFrame:
-    """Text columns with a listed whole-number or double type, cast leniently."""
+def type_columns(raw: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
+    """Text columns with a listed whole-number or double type, cast leniently.
+
+    ``types`` adds columns to the list; others stay text, so that nothing is lost.
+    """
+    listed = {**NAME_TO_TYPE, **(types or {})}
     casts = {}
     for name, dtype in raw.dtypes:
-        wanted = NAME_TO_TYPE.get(name)
+        wanted = listed.get(name)
         if dtype == "string" and wanted in ("int", "bigint"):
             casts[name] = lenient_long(F.col(name)).try_cast(wanted)
         elif dtype == "string" and wanted == "double" and name not in RATE_COLUMNS:
@@ -120,14 +124,18 @@ def add_protocol(flows: DataFrame) -> DataFrame:
 
 
 def clean_flows(
-    raw: DataFrame, keys: Sequence[str] | None = None, seed: int = draws.DEFAULT_SEED
+    raw: DataFrame,
+    keys: Sequence[str] | None = None,
+    seed: int = draws.DEFAULT_SEED,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The whole cleaning, with one shuffle (for the repeats) and one digest per row.
 
-    Optional columns are probed at plan time.  Addresses that a capture already
-    carries are kept; ``keys`` narrows what the representative values depend on.
+    Optional columns are probed at plan time, so captures with different headers are
+    cleaned before they are united.  Addresses that a capture already carries are kept;
+    ``keys`` narrows what the representative values depend on.
     """
-    cleaned = drop_bad_rates(coerce_rates(type_columns(clean_labels(raw))))
+    cleaned = drop_bad_rates(coerce_rates(type_columns(clean_labels(raw), types)))
     flows = _digested(drop_repeats(cleaned), keys, seed)
 
     added: dict[str, Column] = {}

@@ -12,7 +12,7 @@ from flowmarts.operators import bruteforce, distribution, ingest, ip, percentile
 from flowmarts.operators import severity, traffic
 from flowmarts.plans.rollups import Rollups, attack_profile
 from flowmarts.sources.flow_table import conform, write_flows
-from flowmarts.sources.raw import read_raw_flows
+from flowmarts.sources.raw import read_captures, union_captures
 from flowmarts.sources.sinks import write_marts
 
 Marts = dict[str, DataFrame]
@@ -125,8 +125,16 @@ def run_marts(
 
 
 def run_ingest(
-    spark: SparkSession, raw_paths: str | Sequence[str], table: str, fmt: str = "parquet"
+    spark: SparkSession,
+    raw_paths: str | Sequence[str],
+    table: str,
+    fmt: str = "parquet",
+    types: Mapping[str, str] | None = None,
 ) -> None:
-    """Raw captures to the partitioned flow table, in one pass."""
-    flows = ingest.clean_flows(read_raw_flows(spark, raw_paths))
-    write_flows(conform(flows.drop(ingest.FILE)), table, fmt)
+    """Raw captures to the partitioned flow table, in one pass.
+
+    What a capture lacks is added by its own header, then the captures are united.
+    ``types`` gives types to columns beyond the listed ones.
+    """
+    cleaned = [ingest.clean_flows(c, types=types) for c in read_captures(spark, raw_paths)]
+    write_flows(conform(union_captures(*cleaned).drop(ingest.FILE)), table, fmt)

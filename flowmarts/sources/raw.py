@@ -50,14 +50,13 @@ def capture_headers(spark: SparkSession, path: str, glob: str) -> tuple[tuple[st
     return tuple(shown), True
 
 
-def read_raw_flows(
+def read_captures(
     spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv"
-) -> DataFrame:
-    """All captures under ``paths`` as text columns plus ``source_file``.
+) -> list[DataFrame]:
+    """One frame of text columns plus ``source_file`` per distinct header.
 
-    Each path (file, folder or pattern) holds captures with one header.  Paths with
-    equal headers form a single scan, the others are united by column name with
-    nulls for what a capture lacks.  Cost on the driver is one header line per path.
+    Each path (file, folder or pattern) holds captures with one header, and paths with
+    equal headers form a single scan.  Cost on the driver is one header line per path.
     A file whose header differs from its path's is an error, not shifted data; only
     where names repeat are columns taken by position.
 
@@ -77,7 +76,14 @@ def read_raw_flows(
         columns = [F.col(f"`{f}`").alias(n) for f, n in zip(fields, names)]
         file_name = F.col("_metadata.file_name").alias("source_file")
         scans.append(reader.schema(schema).csv(group).select(*columns, file_name))
-    return union_captures(*scans)
+    return scans
+
+
+def read_raw_flows(
+    spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv"
+) -> DataFrame:
+    """All captures as one frame, with nulls for what a capture lacks."""
+    return union_captures(*read_captures(spark, paths, glob))
 
 
 def union_captures(*captures: DataFrame) -> DataFrame:

@@ -38,9 +38,15 @@ def test_written_marts_have_the_declared_schema(spark, flows, run):
     rollups.drop()
 
 
-def test_rollup_tables_are_removed(spark, run):
-    left = os.listdir(shared_dir(spark)) if os.path.isdir(shared_dir(spark)) else []
-    assert not [f for f in left if f.startswith("flowmarts-rollups")]
+def test_rollup_tables_are_written_once_and_removed(spark, flows, tmp_path):
+    base = tmp_path / "rollups"
+    rollups = Rollups(spark, flows, str(base))
+    first = rollups["category_port"]
+    assert rollups["category_port"] is first
+    assert sorted(os.listdir(base)) == ["category_port"]
+    assert first.count() > 0
+    rollups.drop()
+    assert not base.exists()
 
 
 def test_failing_job_is_recorded_and_others_run(spark, flows, tmp_path):
