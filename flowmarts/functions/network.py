@@ -14,10 +14,6 @@ from flowmarts.schema import (
     WEEKDAY_DATES,
 )
 
-# Timestamp layouts seen in captures besides ISO.
-TIMESTAMP_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a")
-
-
 def infer_protocol(port: Column) -> Column:
     """17 (UDP) for name, address-assignment and time service ports, else 6 (TCP)."""
     return F.when(port.isin(*UDP_PORTS), 17).otherwise(6)
@@ -41,6 +37,17 @@ def date_of_file(file_name: Column) -> Column:
 
 
 def parse_timestamp(text: Column) -> Column:
-    """Wall-clock timestamp from ISO text or a known layout; junk becomes null."""
-    layouts = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in TIMESTAMP_FORMATS]
-    return F.coalesce(text.try_cast("timestamp_ntz"), *layouts)
+    """Wall-clock timestamp from ISO or month/day/year text, 24-hour or AM/PM.
+
+    Junk becomes null.  No step passes through a zoned timestamp, so the session's time
+    zone does not matter.
+    """
+    upper = F.upper(F.trim(text))
+    ordered = F.regexp_replace(upper, r"^(\d{1,2})/(\d{1,2})/(\d{4})\b", "$3-$1-$2")
+    clock = F.regexp_replace(ordered, r" ?[AP]M$", "").try_cast("timestamp_ntz")
+    hours = (
+        F.when(upper.endswith("PM") & (F.hour(clock) < 12), 12)
+        .when(upper.endswith("AM") & (F.hour(clock) == 12), -12)
+        .otherwise(0)
+    )
+    return clock + F.make_dt_interval(hours=hours)

@@ -79,10 +79,32 @@ def test_protocols(one_column):
     assert one_column(network.protocol_name, numbers_, "int") == want
 
 
-def test_timestamps(one_column):
-    texts = ["2017-07-07 08:15:00", "7/7/2017 3:30", "7/7/2017 3:30:59", "7/7/2017 3:30 PM", "x", None]
-    hours = one_column(lambda c: F.hour(network.parse_timestamp(c)), texts)
-    assert hours == [8, 3, 3, 15, None, None]
+def test_timestamps(spark, one_column):
+    texts = {
+        "2017-07-07 08:15:00": "2017-07-07 08:15:00",
+        "2017-07-07T08:15:00.25": "2017-07-07 08:15:00.25",
+        "7/6/2017 3:30": "2017-07-06 03:30:00",
+        "7/6/2017 3:30:59": "2017-07-06 03:30:59",
+        "7/6/2017 3:30 PM": "2017-07-06 15:30:00",
+        "7/6/2017 12:05:00 am": "2017-07-06 00:05:00",
+        "7/6/2017 12:05 PM": "2017-07-06 12:05:00",
+        "3/12/2017 2:30": "2017-03-12 02:30:00",  # does not exist in New York
+        "junk": None,
+        "31/12/2017 3:30": None,
+        "": None,
+        None: None,
+    }
+
+    def parsed():
+        return one_column(lambda c: network.parse_timestamp(c).cast("string"), texts)
+
+    assert parsed() == list(texts.values())
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert parsed() == list(texts.values())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_draws_repeat_and_stay_in_range(spark):
