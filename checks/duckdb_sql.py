@@ -315,6 +315,11 @@ select 'dos_ddos', 1, count(*) from flows where attack_category in ('DoS', 'DDoS
     "read_marts": _flows(
         "select *, cast(null as bigint) as count from (" + _TOP_HIGH.format(k=50) + ")", _IP_PROFILE
     ),
+    "mart_document": _flows(
+        f"""select cast(row_number() over (order by total_flows desc, destination_port) as integer) as place,
+  destination_port, total_flows, (select count(*) from flows) as all_flows
+from ({_PORTS}) order by total_flows desc, destination_port limit 15"""
+    ),
     "view_with_headers": _flows(
         """select destination_port, max(flow_bytes_s) as max_bytes,
   cast(sum(syn_flag_count) as bigint) as syn_flags

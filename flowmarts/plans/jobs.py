@@ -13,7 +13,7 @@ from flowmarts.operators import severity, traffic
 from flowmarts.plans.rollups import Rollups, attack_profile
 from flowmarts.sources.flow_table import conform, write_flows
 from flowmarts.sources.raw import read_captures, union_captures
-from flowmarts.sources.sinks import write_marts
+from flowmarts.sources.sinks import write_document, write_marts
 
 Marts = dict[str, DataFrame]
 Job = Callable[[DataFrame, Rollups], Marts]
@@ -94,6 +94,8 @@ def run_marts(
 ) -> DataFrame:
     """Run the jobs on one session and write their marts under ``out``.
 
+    ``fmt`` is a Spark format (a folder per mart) or ``document`` (a JSON per job).
+
     The jobs are submitted together: while one waits for its last tasks another fills
     the cluster, so the seconds of the jobs overlap and ``total`` is the wall clock.
     A job that fails is recorded and the others go on.  Returns one row per job plus
@@ -104,7 +106,11 @@ def run_marts(
     def run(name: str, job: Job) -> tuple:
         started = time.perf_counter()
         try:
-            write_marts(out, name, job(flows, rollups), fmt)
+            marts = job(flows, rollups)
+            if fmt == "document":
+                write_document(out, name, marts)
+            else:
+                write_marts(out, name, marts, fmt)
             status, error = "ok", None
         except Exception as failure:  # a report must not take the others down
             status, error = "failed", f"{type(failure).__name__}: {failure}"[:2000]
@@ -120,7 +126,11 @@ def run_marts(
     total = round(time.perf_counter() - begun, 2)
     rows.append(("total", total, "failed" if failed else "ok", None))
     timings = spark.createDataFrame(rows, TIMINGS_SCHEMA)
-    write_marts(out, "run", {"job_timings": timings.coalesce(1)}, fmt)
+    summary = {"job_timings": timings.coalesce(1)}
+    if fmt == "document":
+        write_document(out, "run", summary)
+    else:
+        write_marts(out, "run", summary, fmt)
     return timings
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -31,6 +32,43 @@ def write_marts(base: str, job: str, marts: Mapping[str, DataFrame], fmt: str =
         outcome.result()
 
 
+def write_document(
+    base: str, job: str, marts: Mapping[str, DataFrame], max_rows: int = 10_000
+) -> None:
+    """All marts of a job as one JSON document, rows in report order.
+
+    For readers that want a single file.  A document is put together on the driver, so
+    it takes reports only: a mart above ``max_rows`` is refused, never cut.
+    """
+
+    def rows(name: str) -> list[dict]:
+        taken = marts[name].limit(max_rows + 1).collect()
+        if len(taken) > max_rows:
+            raise ValueError(f"{name} has more than {max_rows} rows; use write_marts")
+        return [row.asDict(recursive=True) for row in taken]
+
+    with ThreadPoolExecutor(max_workers=max(1, len(marts))) as pool:
+        document = dict(zip(marts, pool.map(rows, marts)))
+    spark = next(iter(marts.values())).sparkSession
+    text = spark.createDataFrame([(json.dumps(document, default=str),)], "value string")
+    text.coalesce(1).write.mode("overwrite").text(document_path(base, job))
+
+
+def document_path(base: str, job: str) -> str:
+    return f"{base.rstrip('/')}/{job}.json"
+
+
+def read_document(spark: SparkSession, base: str, job: str) -> dict[str, list[dict]]:
+    """The document of a job; empty if it has not been written."""
+    try:
+        stored = spark.read.text(document_path(base, job), wholetext=True).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return json.loads(stored.value)
+
+
 def read_mart(spark: SparkSession, base: str, job: str, mart: str, fmt: str = "json") -> DataFrame:
     """A mart with its declared schema; empty if the job has not run yet."""
     schema = MART_SCHEMAS[job][mart]

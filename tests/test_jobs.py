@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from flowmarts.operators import ip
 from flowmarts.plans import jobs
 from flowmarts.plans.rollups import Rollups
 from flowmarts.schema import MART_SCHEMAS
@@ -72,6 +73,25 @@ def test_missing_mart_is_empty(spark, tmp_path):
     assert read.count() == 0 and "attack_types" in read.columns
 
 
+def test_documents(spark, flows, tmp_path):
+    out = str(tmp_path)
+    assert sinks.read_document(spark, out, "suspicious_ip") == {}
+    chosen = {"suspicious_ip": jobs.JOBS["suspicious_ip"]}
+    jobs.run_marts(spark, flows, out, fmt="document", jobs=chosen)
+    stored = sinks.read_document(spark, out, "suspicious_ip")
+    assert set(stored) == set(MART_SCHEMAS["suspicious_ip"])
+    want = [r.asDict() for r in ip.top_suspicious_ips(flows).collect()]
+    assert stored["top_suspicious_ips"] == want
+    timings = sinks.read_document(spark, out, "run")["job_timings"]
+    assert [t["job"] for t in timings] == ["suspicious_ip", "total"]
+
+
+def test_document_refuses_what_is_no_report(spark, flows, tmp_path):
+    with pytest.raises(ValueError, match="more than 10 rows"):
+        sinks.write_document(str(tmp_path), "x", {"flows": flows.select("flow_id")}, max_rows=10)
+    assert sinks.read_document(spark, str(tmp_path), "x") == {}
+
+
 def test_view_under_capture_headers(spark, flows):
     flow_table.register_flow_view(flows, "captured", capture_headers=True)
     row = spark.sql("select max(`Flow Bytes/s`), count(distinct `Source IP`) from captured").first()
