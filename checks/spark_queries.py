@@ -177,12 +177,12 @@ def _document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report through its JSON document, rows in the order of the report."""
     out = _fresh(spark, "marts")
     flows = source.flows(spark, sf_dir)
-    sinks.write_document(
-        out, "traffic_analysis", {"top_ports": traffic.top_ports(flows), "total": distribution.total_flows(flows)}
-    )
+    marts = {"top_ports": traffic.top_ports(flows), "total": distribution.total_flows(flows)}
+    sinks.write_document(out, "traffic_analysis", marts)
     stored = sinks.read_document(spark, out, "traffic_analysis")
     total = stored["total"][0]["total_flows"]
-    rows = [(i, r["destination_port"], r["total_flows"], total) for i, r in enumerate(stored["top_ports"], 1)]
+    ports = enumerate(stored["top_ports"], 1)
+    rows = [(place, r["destination_port"], r["total_flows"], total) for place, r in ports]
     return spark.createDataFrame(
         rows, "place int, destination_port int, total_flows bigint, all_flows bigint"
     )

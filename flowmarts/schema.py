@@ -41,8 +41,6 @@ HEADER_TO_NAME = {header: name for header, name, _ in FLOW_COLUMNS}
 NAME_TO_HEADER = {name: header for header, name, _ in FLOW_COLUMNS}
 NAME_TO_TYPE = {name: dtype for _, name, dtype in FLOW_COLUMNS}
 
-FLOW_SCHEMA = ", ".join(f"{name} {dtype}" for _, name, dtype in FLOW_COLUMNS)
-
 RATE_COLUMNS = ("flow_bytes_s", "flow_packets_s")
 
 BENIGN = "Benign"

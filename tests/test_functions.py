@@ -124,8 +124,9 @@ def test_draws_repeat_and_stay_in_range(spark):
 
 def test_source_addresses_follow_their_range(spark):
     names = [*SOURCE_RANGES, "Other"]
+    place = (F.col("id") % len(names) + 1).cast("int")
     df = spark.range(5000).select(
-        F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("id") % len(names) + 1).cast("int")).alias("c"),
+        F.element_at(F.array(*[F.lit(n) for n in names]), place).alias("c"),
         draws.row_digest([F.col("id")]).alias("d"),
     )
     for row in df.select("c", draws.source_address(F.col("c"), F.col("d")).alias("ip")).collect():
