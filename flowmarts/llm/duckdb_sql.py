@@ -49,4 +49,39 @@ select doc_id, text, lang, source, n_chars, copies, copy::int as copy, md5('29|'
 from (select *, unnest(range(1, copies + 1)) as copy from c)
 """
 
-SQL = {"op9_chunk_recipes": EXACT, "op8_stratified_shards": SHARDS, "op7_poisson_mix": MIX}
+# {docs}: the table judged; the result has its columns and the verdict.
+QUALITY = """
+with d as (
+  select row_number() over () as rid, t.*, WORDS_OF as w, string_split(coalesce(text, ''), chr(10)) as ls from {docs} t),
+l as (
+  select rid, source, coalesce(text, '') as document, unnest(ls) as line, unnest(range(1, len(ls) + 1)) as k from d),
+n as (
+  select *, translate(trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+', ' ', 'g'), ' '), '123456789', '000000000') as norm from l),
+h as (select source, count(distinct coalesce(text, '')) as n from d group by source),
+f as (
+  select c.source, norm from (select source, norm, count(distinct document) as docs from n where norm <> '' group by source, norm) c
+  join h on c.source is not distinct from h.source where docs >= 20 and docs * 100 >= n * 10),
+m as (select n.*, f.norm is not null as furniture from n left join f on n.source is not distinct from f.source and n.norm = f.norm),
+r as (
+  select rid, sum(case when furniture then len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) else 0 end)::bigint as lost,
+    coalesce(string_agg(line, chr(10) order by k) filter (where not furniture), '') as clean, bool_or(furniture) as changed,
+    count(*) filter (where norm <> '') - count(distinct line) filter (where norm <> '') as dup
+  from m group by rid),
+g as (select rid, unnest(range(1, len(w) - 1)) as p, w from d where len(w) >= 3),
+q as (select rid, p, count(*) over (partition by rid, w[p], w[p + 1], w[p + 2]) as times from g),
+c as (select rid, count(distinct p + k) as covered from q, range(3) o(k) where times > 1 group by rid),
+v as (
+  select d.*, len(w)::bigint as n_words, length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
+    (length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+    dup::bigint as n_dup_lines, coalesce(covered, 0)::bigint as n_repeat_words, lost as n_removed_words, clean, changed
+  from d join r using (rid) left join c using (rid)),
+j as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from v),
+judged as (select *, not base_failed and 100 * n_removed_words <= 50 * n_words as kept from j)
+""".replace("WORDS_OF", WORDS)
+
+LINES = QUALITY.replace("{docs}", "documents") + """
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_removed_words from judged
+"""
+
+SQL = {"op3_line_frequency": LINES, "op7_poisson_mix": MIX, "op8_stratified_shards": SHARDS, "op9_chunk_recipes": EXACT}

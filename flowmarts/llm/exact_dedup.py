@@ -1,10 +1,10 @@
 """Exact deduplication by recipes of content-defined chunks.
 
 A rolling hash over the last 32 bytes cuts the normalised text into chunks of about 1.3 kB, so equal stretches
-are cut alike wherever they stand. Chunks are deduplicated by their MD5, and each identifier is verified: the
-least and the greatest body under it must be the same bytes, or the chunks under it take a SHA-256 instead.
-A document is the ordered list of its identifiers; documents with equal lists are equal. Bodies move once,
-combined before the shuffle; documents never do.
+are cut alike wherever they stand. Chunks are deduplicated by their MD5, and each identifier is verified: all
+chunks under it must agree in 120 bits of their SHA-256, or these bits become part of the identifier. A document
+is the ordered list of its identifiers; documents with equal lists are equal. Neither documents nor chunks are
+shuffled, only digests, combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowmarts.llm.common import ascii_lower, checkpointed, read
+from flowmarts.llm.common import ascii_lower, checkpointed, let, read
 
 WINDOW_DOUBLINGS = 5
 MIN_CHUNK, CUT_BITS, MAX_CHUNK = 256, 10, 8192
@@ -82,17 +82,26 @@ def chunked(docs: DataFrame, text: Column) -> DataFrame:
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: ``doc_id``, ``text_sha256`` and ``recipe``, the identifiers of its chunks in order."""
     cut = chunked(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text")), F.col("__text"))
-    bodies = cut.select(F.explode("chunks").alias("chunk")).select(F.md5("chunk").alias("id"), "chunk")
-    checked = bodies.groupBy("id").agg(F.min("chunk").alias("least"), F.max("chunk").alias("greatest"))
+
+    def digests(chunk: Column) -> Column:
+        return let(
+            F.sha2(chunk, 256),
+            lambda sha: F.struct(
+                F.md5(chunk).alias("id"), *[F.conv(F.substring(sha, 1 + 15 * k, 15), 16, 10).cast("long").alias(f"s{k}") for k in (0, 1)]
+            ),
+        )
+
+    whole = F.sha2("body", 256).alias("text_sha256")
+    named = checkpointed(cut.select("doc_id", whole, F.transform("chunks", digests).alias("chunks")))
+    chunks = named.select(F.explode("chunks").alias("c")).select("c.*")
+    checked = chunks.groupBy("id").agg(*[f(f"s{k}").alias(f"{n}{k}") for k in (0, 1) for f, n in ((F.min, "lo"), (F.max, "hi"))])
     # Two bodies under one MD5 take a forger: the list is empty or a handful.
-    forged = [r.id for r in checked.where("least <> greatest").select("id").toLocalIterator()]
+    forged = [r.id for r in checked.where("lo0 <> hi0 or lo1 <> hi1").select("id").toLocalIterator()]
 
-    def identifier(chunk: Column) -> Column:
-        digest = F.md5(chunk)
-        return F.when(digest.isin(forged), F.sha2(chunk, 256)).otherwise(digest) if forged else digest
+    def identifier(c: Column) -> Column:
+        return F.when(c.id.isin(forged), F.concat_ws("-", c.id, c.s0, c.s1)).otherwise(c.id) if forged else c.id
 
-    named = cut.select("doc_id", F.sha2("body", 256).alias("text_sha256"), F.transform("chunks", identifier).alias("recipe"))
-    return checkpointed(named)
+    return named.select("doc_id", "text_sha256", F.transform("chunks", identifier).alias("recipe"))
 
 
 def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

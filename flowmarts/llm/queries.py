@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowmarts.llm import exact_dedup, mixing, shards
+from flowmarts.llm import exact_dedup, line_quality, mixing, near_dup, sentence_pieces, shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_line_frequency": line_quality.op3_line_frequency,
+    "op4_superminhash": near_dup.op4_superminhash,
+    "op5_streaming_viterbi": sentence_pieces.op5_streaming_viterbi,
     "op7_poisson_mix": mixing.op7_poisson_mix,
     "op8_stratified_shards": shards.op8_stratified_shards,
     "op9_chunk_recipes": exact_dedup.op9_chunk_recipes,
