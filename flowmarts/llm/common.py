@@ -35,8 +35,7 @@ def ascii_lower(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Maximal runs of other characters than space and \\x09 to \\x0D; null has none."""
-    parts = F.split(F.coalesce(text, F.lit("")), BLANKS)
-    return F.filter(parts, lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
