@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmarts.llm.common import checkpointed, join_table, read
+from flowmarts.llm.common import checkpointed, join_table, let, read
 from flowmarts.llm.shards import shuffle_key
 
 SEED = 29
@@ -73,12 +73,22 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, target_rows
     rates = source_rates(docs, weights, target_rows, temperature).select("source", F.col("rate").alias("__rate"))
     plain = docs.withColumn("source", F.col("source").cast("string"))
     digest = shuffle_key(seed, F.col("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
-    drawn = join_table(plain, rates, ["source"]).withColumn("__digest", digest)
-    high, low = (F.conv(F.substring("__digest", at, size), 16, 10).cast("double") for at, size in ((1, 8), (9, 5)))
-    u = (high * float(1 << 20) + low) / F.lit(math.ldexp(1.0, 52))
-    drawn = drawn.withColumn("copies", poisson_count(u, F.col("__rate"))).where("copies > 0")
-    copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    keyed = copies.withColumn("mix_key", shuffle_key(seed, F.col("__digest"), F.col("copy"))).drop("__rate", "__digest")
+    joined = join_table(plain, rates, ["source"])
+
+    def drawn(digest: Column) -> Column:
+        high, low = (F.conv(F.substring(digest, at, size), 16, 10).cast("double") for at, size in ((1, 8), (9, 5)))
+        u = (high * float(1 << 20) + low) / F.lit(math.ldexp(1.0, 52))
+        return F.struct(digest.alias("digest"), let(u, lambda x: poisson_count(x, F.col("__rate"))).alias("copies"))
+
+    joined = joined.withColumn("__draw", let(digest, drawn))
+    at = F.posexplode(F.array_repeat(F.lit(True), F.col("__draw.copies")))
+    copies = joined.select(*[joined[c] for c in plain.columns], "__draw", at.alias("__at", "__one"))
+    keyed = copies.select(
+        *plain.columns,
+        F.col("__draw.copies").alias("copies"),
+        (F.col("__at") + 1).alias("copy"),
+        shuffle_key(seed, F.col("__draw.digest"), F.col("__at") + 1).alias("mix_key"),
+    )
     return keyed.repartition("mix_key").sortWithinPartitions("mix_key")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowmarts.llm import exact_dedup, line_quality, mixing, near_dup, sentence_pieces, shards
+from flowmarts.llm import exact_dedup, line_quality, mixing, near_dup, sentence_pieces, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_frequency": line_quality.op3_line_frequency,
@@ -15,4 +15,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_poisson_mix": mixing.op7_poisson_mix,
     "op8_stratified_shards": shards.op8_stratified_shards,
     "op9_chunk_recipes": exact_dedup.op9_chunk_recipes,
+    "op10_levenshtein_lexicon": toxicity.op10_levenshtein_lexicon,
 }
