@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowmarts.llm import exact_dedup, line_quality, mixing, near_dup, sentence_pieces, shards, toxicity
+from flowmarts.llm import exact_dedup, host_paths, line_quality, mixing, near_dup, sentence_pieces, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_consensus_paths": host_paths.op2_consensus_paths,
     "op3_line_frequency": line_quality.op3_line_frequency,
     "op4_superminhash": near_dup.op4_superminhash,
     "op5_streaming_viterbi": sentence_pieces.op5_streaming_viterbi,
