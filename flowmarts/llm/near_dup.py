@@ -25,7 +25,7 @@ from flowmarts.llm import superminhash as smh
 from flowmarts.llm.common import BLANKS, ascii_lower, checkpointed, read
 
 PERCENT = 75
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 LEADERS_A_ROUND = 2
 BROADCAST_IDS = 500_000
 
@@ -86,33 +86,43 @@ def shared(one: pd.Series, two: pd.Series) -> pd.Series:
     return pd.Series(sizes, dtype="int64")
 
 
+def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Union-find over the links of one partition: each of its nodes with the least node it is joined to here."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := above.setdefault(x, x)) != x:
+            above[x] = x = above[up]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch["a"].tolist(), batch["b"].tolist(), strict=True):
+            one, two = top(a), top(b)
+            if one != two:
+                above[max(one, two)] = min(one, two)
+    nodes = list(above)
+    yield pd.DataFrame({"node": pd.Series(nodes, dtype="int64"), "root": pd.Series([top(x) for x in nodes], dtype="int64")})
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for all ends of ``links`` (``a, b``): the least node of each connected component.
 
-    Union-find as rounds of hooking and path halving: each root hooks to its least neighbour, chains are
-    shortened until they are flat, and links are redrawn between the new roots, until none is left.
+    Each partition joins its links by union-find. A node that several partitions have seen links the roots they
+    gave it; these links are the next round's, fewer each time, until no node has two roots.
     """
-    links = checkpointed(links.where("a <> b").select("a", "b").distinct())
-    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    labels = ends.withColumn("root", F.col("node"))
-    while not links.isEmpty():
-        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parents = both.groupBy("a").agg(F.min("b").alias("b")).where("b < a")
-        parents = checkpointed(parents.select(F.col("a").alias("node"), F.col("b").alias("parent")))
-        while True:
-            above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-            lifted = parents.join(above, "parent", "left").select("node", "parent", "above")
-            if not lifted.where("above is not null").limit(1).count():
-                break
-            parents = checkpointed(lifted.select("node", F.coalesce("above", "parent").alias("parent")))
-        top = parents.select(F.col("node").alias("root"), F.col("parent").alias("__top"))
-        labels = labels.join(top, "root", "left").select("node", F.coalesce("__top", "root").alias("root"))
-        for end in ("a", "b"):
-            at = parents.select(F.col("node").alias(end), F.col("parent").alias("__top"))
-            links = links.join(at, end, "left").withColumn(end, F.coalesce("__top", end)).drop("__top")
-        links = checkpointed(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        labels = checkpointed(labels)
-    return labels
+    labels = None
+    while True:
+        forest = checkpointed(links.select("a", "b").repartition("a").mapInPandas(_forest, "node long, root long"))
+        least = forest.groupBy("node").agg(F.min("root").alias("least"))
+        both = forest.join(least, "node").where("root <> least")
+        links = checkpointed(both.select(F.col("root").alias("a"), F.col("least").alias("b")).distinct())
+        if labels is None:
+            labels = least.select("node", F.col("least").alias("root"))
+        else:
+            moved = least.select(F.col("node").alias("root"), "least")
+            labels = labels.join(moved, "root", "left").select("node", F.coalesce("least", "root").alias("root"))
+        if links.isEmpty():
+            return checkpointed(labels)
 
 
 def _verified(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -138,7 +148,7 @@ def _near_sizes(n: str, m: str) -> Column:
 
 def _led(members: DataFrame, turn: int) -> DataFrame:
     """Pairs of members with the leader of their bucket, a few for each member."""
-    order = F.xxhash64("cls", "bucket", F.lit(turn))
+    order = F.xxhash64("cls", F.lit(turn))
     leaders = members.groupBy("bucket").agg(
         F.min(F.struct(order.alias("order"), F.col("cls").alias("leader"), F.col("component").alias("led"), F.col("n").alias("m"))).alias("l"),
         F.min("component").alias("least"),
@@ -181,10 +191,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = checkpointed(exploded.join(crowded, "bucket").select("bucket", "cls", "n"))
 
     meeting = members.select("cls").distinct()
-    first = classes.select("cls", "doc_id").join(meeting, "cls").select("cls", "doc_id")
-    first = checkpointed(first)
-    wanted = first.select("doc_id")
-    wanted = F.broadcast(wanted) if first.count() <= BROADCAST_IDS else wanted
+    wanted = checkpointed(classes.select("cls", "doc_id").join(meeting, "cls").select("doc_id"))
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     bodies = checkpointed(plain.join(wanted, "doc_id", "left_semi").select("plain").mapInArrow(_bodies, "cls long, body binary").dropDuplicates(["cls"]))
 
     done, labels = None, None
@@ -195,12 +203,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         checked = _verified(pairs, bodies)
         done = checked if done is None else done.union(checked)
-        links = done.where("linked").select("a", "b")
-        labels = components(links if labels is None else checked.where("linked").select("a", "b").union(labels.where("node <> root").select("node", "root")))
+        links = checked.where("linked").select("a", "b")
+        labels = components(links if labels is None else links.union(labels.where("node <> root")))
 
     roots = classes.select("cls", "doc_id").join(labels, F.col("cls") == F.col("node"))
-    named = roots.withColumn("component_id", F.lit(None).cast("long")).drop("component_id")
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     grouped = checkpointed(labels.join(least, "root").select(F.col("node").alias("f1"), "component_id"))
     own = usable.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("own_id"))
     alone = own.join(grouped, "f1", "left").select("f1", "f2", "n_shingles", F.coalesce("component_id", "own_id").alias("component_id"))
