@@ -56,8 +56,8 @@ with d as (
 l as (
   select rid, source, coalesce(text, '') as document, unnest(ls) as line, unnest(range(1, len(ls) + 1)) as k from d),
 n as (
-  select *, translate(trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+', ' ', 'g'), ' '), '123456789', '000000000') as norm from l),
+  select *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm from l),
 h as (select source, count(distinct coalesce(text, '')) as n from d group by source),
 f as (
   select c.source, norm from (select source, norm, count(distinct document) as docs from n where norm <> '' group by source, norm) c

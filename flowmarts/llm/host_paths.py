@@ -209,10 +209,16 @@ def holder(node: Node) -> Node:
 
 
 def container(node: Node) -> Node:
-    """The nearest container around a block."""
-    while node.tag not in CONTAINERS and node.parent is not None:
-        node = node.parent
-    return node
+    """The container a block counts for: the outermost article around it, else main, else the nearest of all."""
+    found: dict[str, Node] = {}
+    nearest = None
+    at: Node | None = node
+    while at is not None:
+        if at.tag in CONTAINERS:
+            nearest = nearest or at
+            found[at.tag] = at
+        at = at.parent
+    return found.get("article") or found.get("main") or nearest or node
 
 
 def scores(html: str) -> dict[str, float]:
@@ -226,13 +232,13 @@ def scores(html: str) -> dict[str, float]:
 
 
 def merged_upwards(own: dict[str, float]) -> dict[str, float]:
-    """A container takes in those below it when its own share and theirs belong together: it, or two or more of
-    them, hold a real part of the text. So a body split in sections counts as one article."""
+    """A container also counts 0.6 of what those below it score, so that it wins where none of them holds the
+    greater part: a text split in sections is one article."""
     out = dict(own)
     for path in sorted({p for q in own for p in prefixes(q)}, key=lambda p: -p.count(SEPARATOR)):
         below = [v for q, v in out.items() if q.startswith(path + SEPARATOR) and q.count(SEPARATOR) == path.count(SEPARATOR) + 1]
         if below:
-            out[path] = own.get(path, 0.0) + 0.9 * sum(below)
+            out[path] = own.get(path, 0.0) + 0.6 * sum(below)
     return out
 
 

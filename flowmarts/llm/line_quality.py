@@ -24,9 +24,8 @@ FEW_REPEATS = 64
 
 
 def normalised(line: Column) -> Column:
-    """ASCII lower case, runs of white space as one space, none at the ends, digits as 0."""
-    spaced = F.trim(F.regexp_replace(ascii_lower(line), BLANKS, " "))
-    return F.translate(spaced, "123456789", "000000000")
+    """ASCII lower case, runs of white space as one space, none at the ends."""
+    return F.trim(F.regexp_replace(ascii_lower(line), BLANKS, " "))
 
 
 def lines_of(text: Column) -> Column:
