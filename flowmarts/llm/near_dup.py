@@ -1,10 +1,11 @@
 """Near-duplicate groups: SuperMinHash, banding, verification on full shingle sets, union-find grouping.
 
 Documents with equal sets form a class, and only classes go on. Classes that share a band of the signature meet
-in a bucket. A bucket is not expanded into pairs: in each round its members are compared with one leader, drawn
-anew by a hash, unless they are already in the leader's component. After a few rounds most of a group is one
-component. What is left, pairs of one bucket in different components, is compared in full, so no link between
-components is lost. Two texts at the threshold of 0.75 miss each other in all bands once in a million times.
+in a bucket. Classes whose shingles are mostly their own are left out there. A bucket is not expanded into
+pairs: in each round its members are compared with one leader, drawn anew by a hash, unless they are already in
+the leader's component. After these rounds most of a group is one component. What is left, pairs of one bucket
+in different components, is compared in full, so no link between components is lost. Two texts at the threshold
+of 0.75 miss each other in all bands once in a million times.
 """
 
 from __future__ import annotations
@@ -71,7 +72,14 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _sets(batch.column("plain"))
         prints = [smh.fingerprint(s)[0] for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(prints, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "body"]
+            [
+                pa.array(prints, pa.int64()),
+                pa.ListArray.from_arrays(
+                    pa.array(np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)),
+                    pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)),
+                ),
+            ],
+            names=["cls", "body"],
         )
 
 
@@ -80,7 +88,7 @@ def shared(one: pd.Series, two: pd.Series) -> pd.Series:
     """Sizes of the intersections of two columns of sorted sets."""
     sizes = []
     for a, b in zip(one, two, strict=True):
-        both = np.concatenate((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)))
+        both = np.concatenate((a, b)).view(np.uint64)
         both.sort(kind="stable")
         sizes.append(int(np.count_nonzero(both[1:] == both[:-1])))
     return pd.Series(sizes, dtype="int64")
@@ -130,7 +138,7 @@ def _verified(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     one = bodies.select(F.col("cls").alias("a"), F.col("body").alias("one"))
     two = bodies.select(F.col("cls").alias("b"), F.col("body").alias("two"))
     joined = pairs.join(one, "a").join(two, "b").withColumn("shared", shared("one", "two"))
-    union = (F.length("one") + F.length("two")) / 8 - F.col("shared")
+    union = F.size("one") + F.size("two") - F.col("shared")
     return checkpointed(joined.select("a", "b", (100 * F.col("shared") >= PERCENT * union).alias("linked")))
 
 
@@ -141,21 +149,37 @@ def _in_components(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(named, "cls", "left").withColumn("component", F.coalesce("root", "cls")).drop("root")
 
 
-def _near_sizes(n: str, m: str) -> Column:
-    """Sets of these sizes can be similar enough."""
-    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+def able_to_link(bodies: DataFrame) -> DataFrame:
+    """``cls, common`` of the classes that can have a link: ``common`` counts the shingles that another class
+    of ``bodies`` has too.
+
+    No intersection is larger than ``common``, so one with less than 0.75 of the set has no link. That is exact,
+    costs a count of shingles, and leaves out texts that share no more than a passage.
+    """
+    spread = bodies.select("cls", F.explode("body").alias("shingle"))
+    single = spread.groupBy("shingle").agg(F.count("*").alias("k"), F.min("cls").alias("cls")).where("k = 1")
+    own = single.groupBy("cls").agg(F.count("*").alias("own"))
+    sized = bodies.select("cls", F.size("body").alias("n")).join(own, "cls", "left")
+    common = (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")
+    return sized.select("cls", "n", common).where(100 * F.col("common") >= PERCENT * F.col("n")).select("cls", "common")
+
+
+def _may_link() -> Column:
+    """Bound of the similarity of a member (``n, common``) and another (``m, shared``) by what each has in common."""
+    most = F.least("common", "shared")
+    return 100 * most >= PERCENT * (F.col("n") + F.col("m") - most)
 
 
 def _led(members: DataFrame, turn: int) -> DataFrame:
     """Pairs of members with the leader of their bucket, a few for each member."""
     order = F.xxhash64("cls", F.lit(turn))
     leaders = members.groupBy("bucket").agg(
-        F.min(F.struct(order.alias("order"), F.col("cls").alias("leader"), F.col("component").alias("led"), F.col("n").alias("m"))).alias("l"),
+        F.min(F.struct(order.alias("order"), F.col("cls").alias("leader"), F.col("component").alias("led"), F.col("n").alias("m"), F.col("common").alias("shared"))).alias("l"),
         F.min("component").alias("least"),
         F.max("component").alias("greatest"),
     )
     leaders = leaders.where("least <> greatest").select("bucket", "l.*")
-    met = members.join(leaders, "bucket").where((F.col("component") != F.col("led")) & _near_sizes("n", "m"))
+    met = members.join(leaders, "bucket").where((F.col("component") != F.col("led")) & _may_link())
     pairs = met.select("cls", "leader").distinct()
     chosen = W.partitionBy("cls").orderBy(F.xxhash64("cls", "leader", F.lit(turn)), "leader")
     few = pairs.withColumn("k", F.row_number().over(chosen)).where(F.col("k") <= LEADERS_A_ROUND)
@@ -166,8 +190,8 @@ def _crossing(members: DataFrame) -> DataFrame:
     """All pairs of a bucket whose members are in different components."""
     split = members.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("greatest"))
     rest = members.join(split.where("least <> greatest").select("bucket"), "bucket")
-    other = rest.select("bucket", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("component").alias("led"))
-    met = rest.join(other, "bucket").where((F.col("cls") < F.col("b")) & (F.col("component") != F.col("led")) & _near_sizes("n", "m"))
+    other = rest.select("bucket", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("common").alias("shared"), F.col("component").alias("led"))
+    met = rest.join(other, "bucket").where((F.col("cls") < F.col("b")) & (F.col("component") != F.col("led")) & _may_link())
     return met.select(F.col("cls").alias("a"), "b").distinct()
 
 
@@ -193,7 +217,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     meeting = members.select("cls").distinct()
     wanted = checkpointed(classes.select("cls", "doc_id").join(meeting, "cls").select("doc_id"))
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    bodies = checkpointed(plain.join(wanted, "doc_id", "left_semi").select("plain").mapInArrow(_bodies, "cls long, body binary").dropDuplicates(["cls"]))
+    bodies = checkpointed(plain.join(wanted, "doc_id", "left_semi").select("plain").mapInArrow(_bodies, "cls long, body array<long>").dropDuplicates(["cls"]))
+
+    members = checkpointed(members.join(able_to_link(bodies), "cls"))
 
     done, labels = None, None
     for turn in range(LEADER_ROUNDS + 1):
