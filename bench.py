@@ -28,7 +28,7 @@ from flowmarts.operators import ranking, severity, traffic  # noqa: E402
 from flowmarts.plans import jobs, sql  # noqa: E402
 from flowmarts.schema import NAME_TO_HEADER  # noqa: E402
 from flowmarts.session import get_spark  # noqa: E402
-from flowmarts.sources import events as source  # noqa: E402
+from checks import events as source  # noqa: E402
 from flowmarts.sources import flow_table  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

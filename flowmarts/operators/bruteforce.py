@@ -47,6 +47,8 @@ def high_syn_flows(flows: DataFrame, threshold: int = SYN_THRESHOLD) -> DataFram
 def high_syn(flows: DataFrame, threshold: int = SYN_THRESHOLD) -> DataFrame:
     """Number of flows with many SYN flags, of any category."""
     if "high_syn_weight" in flows.columns:  # rollup, counted with the default threshold
+        if threshold != SYN_THRESHOLD:
+            raise ValueError(f"a rollup counts above {SYN_THRESHOLD} only; give the flows for another threshold")
         counted = F.coalesce(F.sum("high_syn_weight"), F.lit(0))
     else:
         counted = F.count_if(F.col("syn_flag_count") > threshold)

@@ -48,12 +48,13 @@ def malicious_split(flows: DataFrame) -> DataFrame:
 
 
 def attack_hour_matrix(flows: DataFrame) -> DataFrame:
-    """Hostile flows, one row per category and one column per hour, 0 where none.
+    """Hostile flows, one row per category and one column per hour, 0 where none; ``no_hour`` counts those
+    whose hour is unknown.
 
     The hours are listed, so no extra job looks for them.
     """
-    hostile = attacks_only(flows)
-    matrix = hostile.groupBy("attack_category").pivot("hour", list(range(24)))
+    hostile = attacks_only(flows).withColumn("hour", F.coalesce(F.col("hour").cast("int"), F.lit(-1)))
+    matrix = hostile.groupBy("attack_category").pivot("hour", [*range(24), -1])
     counted = matrix.agg(flow_count(hostile)).na.fill(0)
-    named = {str(h): f"h{h:02d}" for h in range(24)}
+    named = {str(h): f"h{h:02d}" for h in range(24)} | {"-1": "no_hour"}
     return counted.withColumnsRenamed(named).orderBy("attack_category")

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from flowmarts.functions import draws
 from flowmarts.functions.labels import category_of, normalise_label
 from flowmarts.functions.network import date_of_file, infer_protocol, parse_timestamp
-from flowmarts.functions.numbers import finite_double, lenient_long
+from flowmarts.functions.numbers import finite_double, lenient_long, same_value
 from flowmarts.schema import NAME_TO_TYPE, RATE_COLUMNS
 
 FILE = "source_file"
 _DIGEST = "_row_digest"
+RESERVED = ("severity", "flow_weight", "attack_weight", "high_syn_weight")
 
 
 def clean_labels(raw: DataFrame) -> DataFrame:
@@ -49,6 +50,23 @@ def type_columns(raw: DataFrame, types: Mapping[str, str] | None = None) -> Data
     return raw.withColumns(casts) if casts else raw
 
 
+def alike(raw: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
+    """Text columns of a listed number type in one spelling per value, and no value lost.
+
+    Repeats are compared on this form: casting first would make rows equal that differ in a fraction or in
+    what can't be read.
+    """
+    listed = {**NAME_TO_TYPE, **(types or {})}
+    numbers = ("int", "bigint", "double")
+    names = [n for n, dtype in raw.dtypes if dtype == "string" and listed.get(n) in numbers and n not in RATE_COLUMNS]
+    return raw.withColumns({n: same_value(F.col(n)) for n in names}) if names else raw
+
+
+def set_aside(raw: DataFrame) -> DataFrame:
+    """Capture columns with a name that rollups and marts use are called ``capture_...``."""
+    return raw.withColumnsRenamed({n: f"capture_{n}" for n in RESERVED if n in raw.columns})
+
+
 def drop_bad_rates(coerced: DataFrame) -> DataFrame:
     """Rows whose rates are both present (run after ``coerce_rates``)."""
     return coerced.na.drop(subset=list(RATE_COLUMNS))
@@ -135,8 +153,8 @@ def clean_flows(
     cleaned before they are united.  Addresses that a capture already carries are kept;
     ``keys`` narrows what the representative values depend on.
     """
-    cleaned = drop_bad_rates(coerce_rates(type_columns(clean_labels(raw), types)))
-    flows = _digested(drop_repeats(cleaned), keys, seed)
+    cleaned = drop_bad_rates(coerce_rates(alike(clean_labels(set_aside(raw)), types)))
+    flows = _digested(type_columns(drop_repeats(cleaned), types), keys, seed)
 
     added: dict[str, Column] = {}
     if "source_ip" not in raw.columns:
@@ -159,7 +177,7 @@ def ingest_audit(raw: DataFrame) -> DataFrame:
     Equal rows are counted together first, so a file of any size, or one row
     repeated any number of times, shuffles as a set of distinct rows with counts.
     """
-    coerced = coerce_rates(type_columns(clean_labels(raw)))
+    coerced = coerce_rates(alike(clean_labels(raw)))
     bad = F.lit(False)
     for c in RATE_COLUMNS:
         bad = bad | F.col(c).isNull()

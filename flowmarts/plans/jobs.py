@@ -94,13 +94,15 @@ def run_marts(
 ) -> DataFrame:
     """Run the jobs on one session and write their marts under ``out``.
 
-    ``fmt`` is a Spark format (a folder per mart) or ``document`` (a JSON per job).
+    ``fmt`` is a Spark format (a folder per mart) or ``document`` (a JSON folder per job).
 
     The jobs are submitted together: while one waits for its last tasks another fills
     the cluster, so the seconds of the jobs overlap and ``total`` is the wall clock.
     A job that fails is recorded and the others go on.  Returns one row per job plus
     ``total``; the same rows are written as ``job_timings``.
     """
+    # A table without an optional column loses what is computed from it, not whole jobs.
+    flows = conform(flows)
     rollups = Rollups(spark, flows)
 
     def run(name: str, job: Job) -> tuple:
@@ -113,14 +115,16 @@ def run_marts(
                 write_marts(out, name, marts, fmt)
             status, error = "ok", None
         except Exception as failure:  # a report must not take the others down
-            status, error = "failed", f"{type(failure).__name__}: {failure}"[:2000]
+            status, error = "failed", f"{type(failure).__name__}: {failure}"
         return name, round(time.perf_counter() - started, 2), status, error
 
     begun = time.perf_counter()
     chosen = JOBS if jobs is None else jobs
-    with ThreadPoolExecutor(max_workers=max(1, len(chosen))) as pool:
-        rows = list(pool.map(run, chosen.keys(), chosen.values()))
-    rollups.drop()
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, len(chosen))) as pool:
+            rows = list(pool.map(run, chosen.keys(), chosen.values()))
+    finally:
+        rollups.drop()
 
     failed = any(row[2] == "failed" for row in rows)
     total = round(time.perf_counter() - begun, 2)
@@ -141,7 +145,8 @@ def run_ingest(
     fmt: str = "parquet",
     types: Mapping[str, str] | None = None,
 ) -> None:
-    """Raw captures to the partitioned flow table, in one pass.
+    """Raw captures to the partitioned flow table: a pass for the headers, then one over the rows, with a
+    shuffle for the repeats and one for the layout of the table.
 
     What a capture lacks is added by its own header, then the captures are united.
     ``types`` gives types to columns beyond the listed ones.

@@ -26,7 +26,7 @@ _MEASURES = ("flow_bytes_s", "flow_packets_s", "flow_duration", "syn_flag_count"
 
 def traffic_cube(flows: DataFrame) -> DataFrame:
     """Counts and sums by category, label, protocol, hour and severity: a few thousand
-    rows, whatever the input.  Sums are doubles, as a sum of microseconds over 10^12
+    rows for the known labels, more as unknown ones occur.  Sums are doubles, as a sum of microseconds over 10^12
     flows leaves the range of a 64-bit integer."""
     keys = ["attack_category", "label", "protocol", "hour", "severity"]
     sums = [
@@ -70,7 +70,9 @@ class Rollups:
         """Start writing the named rollups that are not under way yet."""
         with self._lock:
             for name in names:
-                if name not in self._writing:
+                known = self._writing.get(name)
+                # One that has failed is tried again by the next job that asks.
+                if known is None or known.done() and known.exception() is not None:
                     self._writing[name] = self._pool.submit(self._write, name)
 
     def _write(self, name: str) -> DataFrame:

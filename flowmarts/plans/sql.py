@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from flowmarts.sources.flow_table import VIEW, register_flow_view
-
 ATTACK_PROFILE = """
 select attack_category,
        count(*)                          as total_flows,
@@ -15,7 +13,7 @@ select attack_category,
        round(avg(flow_duration), 2)      as avg_duration_us,
        round(avg(syn_flag_count), 3)     as avg_syn_flags,
        round(max(flow_bytes_s), 2)       as max_bytes_per_sec
-from {view}
+from {flows}
 group by attack_category
 order by total_flows desc, attack_category
 """
@@ -26,7 +24,7 @@ with summaries as (
   select attack_category,
          percentile_approx(flow_bytes_s, array(0.5, 0.9, 0.99), {accuracy}) as bytes,
          percentile_approx(flow_duration, array(0.5, 0.9), {accuracy})      as duration
-  from {view}
+  from {flows}
   group by attack_category
 )
 select attack_category,
@@ -39,23 +37,47 @@ from summaries
 order by p99_bytes desc, attack_category
 """
 
+RANK_ERRORS = """
+with summaries as (
+  select attack_category, count(flow_bytes_s) as n,
+         percentile_approx(flow_bytes_s, array(0.5, 0.9, 0.99), {accuracy}) as bytes
+  from {flows}
+  group by attack_category
+),
+asked as (
+  select attack_category, n, p.share, p.value
+  from summaries lateral view inline(arrays_zip(array(0.5D, 0.9D, 0.99D), bytes)) p as share, value
+),
+placed as (
+  select a.attack_category, a.share, a.n, count_if(f.flow_bytes_s < a.value) as below,
+         count_if(f.flow_bytes_s <= a.value) as upto
+  from asked a join {flows} f on a.attack_category <=> f.attack_category
+  group by a.attack_category, a.share, a.n
+)
+select attack_category, share,
+       below <= ceil(share * n) + n / {accuracy} and upto >= floor(share * n) - n / {accuracy} as within
+from placed
+"""
+
 DEFAULT_ACCURACY = 10_000  # Spark's own default
 
 
-def sql_attack_profile(flows: DataFrame, view: str = VIEW) -> DataFrame:
+def sql_attack_profile(flows: DataFrame) -> DataFrame:
     """Counts, distinct addresses and ports, means and maximum per category."""
-    register_flow_view(flows, view)
-    return flows.sparkSession.sql(ATTACK_PROFILE.format(view=view))
+    return flows.sparkSession.sql(ATTACK_PROFILE, flows=flows)
 
 
-def flow_percentiles(
-    flows: DataFrame, accuracy: int = DEFAULT_ACCURACY, view: str = VIEW
-) -> DataFrame:
+def flow_percentiles(flows: DataFrame, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Percentiles from ``percentile_approx``: actual values with rank error 1/accuracy.
 
     Every input split sends a summary of up to some ``accuracy`` entries per category
     to the task of that category.  On very many splits lower the accuracy, or take
     ``operators.percentiles.flow_percentiles_exact``, which has no such funnel.
     """
-    register_flow_view(flows, view)
-    return flows.sparkSession.sql(PERCENTILES.format(view=view, accuracy=int(accuracy)))
+    return flows.sparkSession.sql(PERCENTILES, flows=flows, accuracy=int(accuracy))
+
+
+def percentile_rank_errors(flows: DataFrame, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Per category and percentile of the byte rates: whether the value that ``percentile_approx`` gives has a
+    rank within 1/accuracy of the one asked for, counted over the flows."""
+    return flows.sparkSession.sql(RANK_ERRORS, flows=flows, accuracy=int(accuracy))

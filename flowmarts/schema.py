@@ -121,7 +121,8 @@ MART_SCHEMAS = {
         "attack_categories": "attack_category string, count bigint, percentage double",
         "label_distribution": "label string, count bigint",
         "attack_hour_matrix": "attack_category string, "
-        + ", ".join(f"h{h:02d} bigint" for h in range(24)),
+        + ", ".join(f"h{h:02d} bigint" for h in range(24))
+        + ", no_hour bigint",
     },
     "suspicious_ip": {
         "threat_summary": "threat_level string, count bigint",

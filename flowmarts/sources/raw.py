@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections import Counter
+import csv
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,29 +26,24 @@ def unique_names(headers: Sequence[str]) -> list[str]:
     return names
 
 
-def rename_headers(df: DataFrame) -> DataFrame:
-    """Strip blanks from the headers and give every column our name."""
-    return df.toDF(*unique_names(df.columns))
+def file_headers(spark: SparkSession, paths: Sequence[str], glob: str) -> list[tuple[str, tuple[str, ...]]]:
+    """Path and header of every capture that has a line, in the order of the paths.
 
-
-def capture_headers(spark: SparkSession, path: str, glob: str) -> tuple[tuple[str, ...], bool]:
-    """Header of a path's captures as written, and whether its names are unique.
-
-    Spark shows a repeated name with its position appended.  Names that look like
-    that are compared with the first line as it stands.
+    One distributed pass over the lines keeps the first of each file; the driver gets a line per file, as
+    many as it lists anyway. Merged output of an earlier run (``combined*``) is left out.
     """
-    reader = spark.read.option("pathGlobFilter", glob)
-    shown = reader.option("header", True).csv(path).columns
-    stems = {i: h.removesuffix(str(i)) for i, h in enumerate(shown) if h.endswith(str(i))}
-    common = Counter(stem.lower() for stem in stems.values())
-    restored = [
-        stems[i] if i in stems and common[stems[i].lower()] > 1 else h for i, h in enumerate(shown)
-    ]
-    if restored != shown:
-        first_line = reader.option("header", False).csv(path).first()
-        if list(first_line) == restored:
-            return tuple(restored), False
-    return tuple(shown), True
+    lines = spark.read.option("pathGlobFilter", glob).text(list(paths))
+    place = F.struct(
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value"
+    )
+    first = lines.select(F.col("_metadata.file_path").alias("path"), place.alias("line"))
+    first = first.groupBy("path").agg(F.min("line").alias("line")).orderBy("path")
+    found = []
+    for row in first.select("path", "line.value").collect():
+        name = row.path.rsplit("/", 1)[-1].lower()
+        if not name.startswith("combined"):
+            found.append((unquote(row.path), tuple(next(csv.reader([row.value.lstrip("\ufeff")]), []))))
+    return found
 
 
 def read_captures(
@@ -55,27 +51,22 @@ def read_captures(
 ) -> list[DataFrame]:
     """One frame of text columns plus ``source_file`` per distinct header.
 
-    Each path (file, folder or pattern) holds captures with one header, and paths with
-    equal headers form a single scan.  Cost on the driver is one header line per path.
-    A file whose header differs from its path's is an error, not shifted data; only
-    where names repeat are columns taken by position.
+    A path is a file, a folder or a pattern; files of one folder may differ in their headers, as every file's
+    own is read. Files with exactly the same header line form one scan, in which columns go by
+    position, so neither a repeated name nor another order can shift data.
 
     Everything is read as text: no inference pass, and damaged numbers reach
     ``ingest`` instead of turning a whole column to text.
     """
-    by_header: dict[tuple[tuple[str, ...], bool], list[str]] = {}
-    for path in [paths] if isinstance(paths, str) else paths:
-        by_header.setdefault(capture_headers(spark, path, glob), []).append(path)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path, header in file_headers(spark, [paths] if isinstance(paths, str) else paths, glob):
+        by_header.setdefault(header, []).append(path)
 
     scans = []
-    for (headers, unique), group in by_header.items():
-        names = unique_names(headers)
-        fields = headers if unique else names
-        schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-        reader = spark.read.options(header=True, enforceSchema=not unique, pathGlobFilter=glob)
-        columns = [F.col(f"`{f}`").alias(n) for f, n in zip(fields, names)]
-        file_name = F.col("_metadata.file_name").alias("source_file")
-        scans.append(reader.schema(schema).csv(group).select(*columns, file_name))
+    for header, group in by_header.items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in unique_names(header)])
+        reader = spark.read.options(header=True, enforceSchema=True).schema(schema)
+        scans.append(reader.csv(group).select("*", F.col("_metadata.file_name").alias("source_file")))
     return scans
 
 

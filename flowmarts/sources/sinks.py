@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowmarts.schema import MART_SCHEMAS
 
@@ -32,26 +34,17 @@ def write_marts(base: str, job: str, marts: Mapping[str, DataFrame], fmt: str =
         outcome.result()
 
 
-def write_document(
-    base: str, job: str, marts: Mapping[str, DataFrame], max_rows: int = 10_000
-) -> None:
-    """All marts of a job as one JSON document, rows in report order.
+def write_document(base: str, job: str, marts: Mapping[str, DataFrame]) -> None:
+    """All marts of a job as one JSON folder, in which a row names its mart and its place in the report.
 
-    For readers that want a single file.  A document is put together on the driver, so
-    it takes reports only: a mart above ``max_rows`` is refused, never cut.
+    The executors write it, whatever the number of rows. ``place`` rises with the order of the mart.
     """
 
-    def rows(name: str) -> list[dict]:
-        taken = marts[name].limit(max_rows + 1).collect()
-        if len(taken) > max_rows:
-            raise ValueError(f"{name} has more than {max_rows} rows; use write_marts")
-        return [row.asDict(recursive=True) for row in taken]
+    def rows(name: str) -> DataFrame:
+        line = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+        return marts[name].select(F.lit(name).alias("mart"), F.monotonically_increasing_id().alias("place"), line.alias("row"))
 
-    with ThreadPoolExecutor(max_workers=max(1, len(marts))) as pool:
-        document = dict(zip(marts, pool.map(rows, marts)))
-    spark = next(iter(marts.values())).sparkSession
-    text = spark.createDataFrame([(json.dumps(document, default=str),)], "value string")
-    text.coalesce(1).write.mode("overwrite").text(document_path(base, job))
+    reduce(DataFrame.union, map(rows, marts)).write.mode("overwrite").json(document_path(base, job))
 
 
 def document_path(base: str, job: str) -> str:
@@ -59,14 +52,17 @@ def document_path(base: str, job: str) -> str:
 
 
 def read_document(spark: SparkSession, base: str, job: str) -> dict[str, list[dict]]:
-    """The document of a job; empty if it has not been written."""
+    """The document of a job, for reports that fit the driver; empty if it has not been written."""
     try:
-        stored = spark.read.text(document_path(base, job), wholetext=True).first()
+        stored = spark.read.schema("mart string, place bigint, row string").json(document_path(base, job))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return {}
-    return json.loads(stored.value)
+    document: dict[str, list[dict]] = {}
+    for line in stored.orderBy("mart", "place").toLocalIterator():
+        document.setdefault(line.mart, []).append(json.loads(line.row))
+    return document
 
 
 def read_mart(spark: SparkSession, base: str, job: str, mart: str, fmt: str = "json") -> DataFrame:

@@ -31,7 +31,7 @@ def small():
 
 @pytest.fixture(scope="session")
 def flows(spark, small):
-    from flowmarts.sources import events
+    from checks import events
 
     return events.flows(spark, small)
 

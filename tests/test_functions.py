@@ -50,8 +50,8 @@ def test_finite_double(one_column):
 
 
 def test_lenient_long(one_column):
-    texts = ["80", "80.0", " 7 ", "9007199254740993", "x", "", None]
-    want = [80, 80, 7, 9007199254740993, None, None, None]
+    texts = ["80", "80.0", " 7 ", "9007199254740993", "1.2", "x", "", None]
+    want = [80, 80, 7, 9007199254740993, None, None, None, None]
     assert one_column(numbers.lenient_long, texts) == want
 
 

@@ -7,7 +7,7 @@ from flowmarts.operators import ingest
 from flowmarts.plans.jobs import run_ingest
 from flowmarts.schema import NAME_TO_TYPE
 from flowmarts.sources import flow_table
-from flowmarts.sources.raw import read_raw_flows, rename_headers, unique_names
+from flowmarts.sources.raw import read_captures, read_raw_flows, unique_names
 
 RAW_DDL = "source_file string, flow_duration string, flow_bytes_s string, flow_packets_s string, label string"
 
@@ -96,9 +96,30 @@ def test_header_names():
     assert unique_names(headers) == ["flow_bytes_s", "label", "odd_name", "odd_name_1"]
 
 
-def test_rename_headers(spark):
-    df = spark.createDataFrame([(1, 2)], "` Destination Port` int, `Label ` int")
-    assert rename_headers(df).columns == ["destination_port", "label"]
+def test_files_of_one_folder_may_differ_in_their_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Label, Fwd Header Length, Fwd Header Length, Flow Bytes/s\nBot,1,2,9\n")
+    (tmp_path / "b.csv").write_text(" Flow Bytes/s,Fwd Header Length,Fwd Header Length,Label\n7,3,4,DDoS\n")
+    (tmp_path / "c d.csv").write_text("Label,Timestamp\nBENIGN,x\n")
+    (tmp_path / "Combined_all.csv").write_text("Label,Timestamp\nBENIGN,y\n")
+    (tmp_path / "empty.csv").write_text("")
+    rows = {r.source_file: r for r in read_raw_flows(spark, str(tmp_path)).collect()}
+    assert set(rows) == {"a.csv", "b.csv", "c%20d.csv"} and len(read_captures(spark, [str(tmp_path)])) == 3
+    assert (rows["a.csv"].label, rows["a.csv"].flow_bytes_s, rows["a.csv"].fwd_header_length_1) == ("Bot", "9", "2")
+    assert (rows["b.csv"].label, rows["b.csv"].flow_bytes_s, rows["b.csv"].fwd_header_length) == ("DDoS", "7", "3")
+    assert rows["c%20d.csv"].ts == "x" and rows["c%20d.csv"].flow_bytes_s is None
+
+
+def test_distinct_rows_stay_distinct(spark):
+    df = raw(spark, *[("a", text, "1", "2", "BENIGN") for text in ("1.2", "1.9", "junk", "trash", "1", "1.0", " 1e0", None)])
+    cleaned = ingest.clean_flows(df)
+    assert cleaned.count() == 6
+    assert sorted(r.flow_duration for r in cleaned.collect() if r.flow_duration is not None) == [1]
+
+
+def test_capture_columns_with_reserved_names_are_set_aside(spark):
+    df = raw(spark, ("a", "1", "1", "2", "Bot")).withColumns({"severity": F.lit("x"), "flow_weight": F.lit("7")})
+    row = ingest.clean_flows(df).first()
+    assert (row.capture_severity, row.capture_flow_weight) == ("x", "7") and "severity" not in row.asDict()
 
 
 HEAD = " Destination Port, Flow Duration,Flow Bytes/s, Flow Packets/s, Fwd Header Length, Label"
@@ -134,13 +155,6 @@ def test_raw_scan(spark, captures):
     assert df.count() == 5
 
 
-def test_header_that_differs_inside_a_folder_is_an_error(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("Label,Flow Bytes/s\nx,1\n")
-    (tmp_path / "b.csv").write_text("Flow Bytes/s,Label\n1,x\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_raw_flows(spark, str(tmp_path)).collect()
-
-
 def test_repeated_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Label, Size, Size,End\nx,1,2,3\n")
     row = read_raw_flows(spark, str(tmp_path)).first()

@@ -2,8 +2,10 @@ import os
 
 import pytest
 
-from flowmarts.operators import ip
-from flowmarts.plans import jobs
+from pyspark.sql import functions as F
+
+from flowmarts.operators import bruteforce, ip, severity
+from flowmarts.plans import jobs, rollups
 from flowmarts.plans.rollups import Rollups
 from flowmarts.schema import MART_SCHEMAS
 from flowmarts.session import shared_dir
@@ -86,10 +88,47 @@ def test_documents(spark, flows, tmp_path):
     assert [t["job"] for t in timings] == ["suspicious_ip", "total"]
 
 
-def test_document_refuses_what_is_no_report(spark, flows, tmp_path):
-    with pytest.raises(ValueError, match="more than 10 rows"):
-        sinks.write_document(str(tmp_path), "x", {"flows": flows.select("flow_id")}, max_rows=10)
-    assert sinks.read_document(spark, str(tmp_path), "x") == {}
+def test_documents_have_no_row_limit(spark, tmp_path):
+    rows = spark.range(12_000).select("id", F.lit(None).cast("string").alias("note")).orderBy(F.desc("id"))
+    sinks.write_document(str(tmp_path), "x", {"many": rows, "one": rows.limit(1)})
+    stored = sinks.read_document(spark, str(tmp_path), "x")
+    assert [r["id"] for r in stored["many"]] == list(range(11_999, -1, -1))
+    assert stored["one"] == [{"id": 11_999, "note": None}]
+
+
+def test_a_failed_rollup_is_tried_again(spark, flows, monkeypatch, tmp_path):
+    calls = []
+
+    def flaky(frame):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("once")
+        return rollups.category_port_counts(frame)
+
+    monkeypatch.setitem(rollups.BUILDERS, "category_port", flaky)
+    kept = rollups.Rollups(spark, flows, str(tmp_path))
+    with pytest.raises(RuntimeError):
+        kept["category_port"]
+    assert kept["category_port"].count() > 0
+
+
+def test_a_table_without_optional_columns_keeps_its_jobs(spark, flows, tmp_path):
+    timings = jobs.run_marts(spark, flows.drop("hour", "syn_flag_count"), str(tmp_path)).collect()
+    assert {r.status for r in timings} == {"ok"}
+    matrix = sinks.read_mart(spark, str(tmp_path), "attack_distribution", "attack_hour_matrix")
+    assert matrix.agg(F.sum("no_hour")).first()[0] == flows.where("attack_category <> 'Benign'").count()
+
+
+def test_rollups_answer_the_default_threshold_only(flows):
+    cube = rollups.traffic_cube(flows)
+    assert bruteforce.high_syn(cube).collect() == bruteforce.high_syn(flows).collect()
+    with pytest.raises(ValueError, match="rollup"):
+        bruteforce.high_syn(cube, threshold=1)
+
+
+def test_a_foreign_severity_column_is_not_trusted(flows):
+    foreign = flows.withColumn("severity", F.lit("Odd"))
+    assert severity.severity_totals(foreign).collect() == severity.severity_totals(flows).collect()
 
 
 def test_view_under_capture_headers(spark, flows):

@@ -17,15 +17,13 @@ def test_query_matches_sql(spark, duck, small, name):
     assert compare.difference(spark, duck, small, name) is None
 
 
-def test_every_query_has_sql_or_a_reason():
-    assert set(SQL) <= set(QUERIES)
-    # Wall-clock seconds are no function of the data.
-    assert set(QUERIES) - set(SQL) == {"job_timings"}
+def test_every_query_has_sql():
+    assert set(SQL) == set(QUERIES)
 
 
 def test_entry_points(spark):
     import __spark_entry__ as driver
 
     assert driver.entry(spark).columns == ["attack_category", "count", "percentage"]
-    assert set(driver.queries()) == set(QUERIES)
-    assert set(driver.oracle_sql()) == set(SQL)
+    assert set(driver.queries()) >= set(QUERIES)
+    assert set(driver.oracle_sql()) >= set(SQL)

@@ -5,7 +5,7 @@ from fractions import Fraction
 import pytest
 
 from flowmarts.operators.percentiles import exact_percentiles, flow_percentiles_exact
-from flowmarts.plans.sql import flow_percentiles
+from flowmarts.plans.sql import flow_percentiles, percentile_rank_errors
 
 PROBABILITIES = (0.01, 0.5, 0.9, 0.99, 1.0)
 
@@ -57,11 +57,10 @@ def test_most_rows_in_one_value(spark):
 
 
 def test_report_forms_agree(flows):
-    # Below 10,000 rows per category the summary at this accuracy keeps every value.
-    exact = flow_percentiles_exact(flows)
-    close = flow_percentiles(flows, accuracy=20_000)
+    exact, close = flow_percentiles_exact(flows), flow_percentiles(flows)
     assert exact.dtypes == close.dtypes
-    assert [tuple(r) for r in exact.collect()] == [tuple(r) for r in close.collect()]
+    assert {r.attack_category for r in exact.collect()} == {r.attack_category for r in close.collect()}
+    assert all(r.within for r in percentile_rank_errors(flows).collect())
 
 
 def test_single_flow(make_flows):
