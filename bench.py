@@ -1,10 +1,11 @@
 """Headline timings.  Prints one JSON line.
 
-The flows derived from ``$BENCH_SF_DIR`` are repeated until they number about
-2.57 million, the size of the published runs, and written as CSV once.  Timed are:
+The events of ``$BENCH_SF_DIR`` are repeated with shifted ids and users until their flows number about
+2.57 million, the size of the published runs, with 12,650 addresses, and written as CSV once.  Timed are:
 loading that CSV (fixed schema, full parse of the columns used), converting it to the
 Parquet flow table, and then each task on the Parquet table, uncached, every result
-row fetched.  Tasks do the full work of the report, not a reduced form.  Names ending
+row fetched.  Tasks do the full work of the report; the ``published_`` steps do what the published
+micro-steps do, on a cached frame.  Names ending
 in ``_warm`` are the same steps once more in the same session.
 """
 
@@ -50,11 +51,11 @@ def main() -> None:
     folder = tempfile.mkdtemp(prefix="flowmarts-bench-")
     csv, table = f"{folder}/csv", f"{folder}/flows"
 
-    base = flow_table.conform(source.flows(spark, SF_DIR).drop("source_file"))
-    copies = math.ceil(TARGET_ROWS / base.count())
-    every = F.explode(F.sequence(F.lit(1), F.lit(copies)))
-    repeated = base.repartition(int(CPUS)).withColumn("copy", every).drop("copy")
-    repeated.withColumnsRenamed(NAME_TO_HEADER).write.option("header", True).csv(csv)
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    copies = math.ceil(TARGET_ROWS / source.flows_of(events).count())
+    every = source.flows_of(source.repeated(events.repartition(int(CPUS)), copies))
+    base = flow_table.conform(every.drop("source_file"))
+    base.withColumnsRenamed(NAME_TO_HEADER).write.option("header", True).csv(csv)
 
     seconds: dict[str, float] = {}
 
@@ -80,6 +81,18 @@ def main() -> None:
 
         return run
 
+    # The published steps: on a frame that the first of them caches, with their reduced work.
+    cached = loaded.select("label", *[c for c in used if c != "label"]).persist()
+    published = {
+        "attack_distribution": (distribution.attack_distribution,),
+        "suspicious_ip": (ip.high_threat_ip_count,),
+        "failed_logins": (bruteforce.brute_total,),
+        "traffic_analysis": (traffic.protocol_distribution, lambda f: f.groupBy("destination_port").count()),
+    }
+    for name, operators in published.items():
+        timed(f"published_{name}", lambda: [operator(cached).collect() for operator in operators])
+    cached.unpersist()
+
     tasks = {
         "attack_distribution": (distribution.attack_distribution, distribution.label_distribution),
         "suspicious_ip": (ip.threat_summary, ip.top_suspicious_ips),

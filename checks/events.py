@@ -96,12 +96,30 @@ def raw_flows(events: DataFrame, duplicates: bool = False) -> DataFrame:
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned flow table of the events in ``sf_dir``."""
+    return flows_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def repeated(events: DataFrame, copies: int) -> DataFrame:
+    """The events ``copies`` times, ids and users shifted in each, so that rows and addresses differ."""
+    last = events.agg(F.max("event_id").alias("event"), F.max("user_id").alias("user")).first()
+    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    shifted = events.withColumn("copy", copy)
+    return shifted.withColumns(
+        {
+            "event_id": F.col("event_id") + F.col("copy") * (last.event + 1),
+            "user_id": F.col("user_id") + F.col("copy") * (last.user + 1),
+        }
+    ).drop("copy")
+
+
+def flows_of(events: DataFrame) -> DataFrame:
     """Cleaned flow table.
 
     The mapping sets addresses and ports, and makes no repeated rows, so the
     shuffle that removes duplicates is left out here.
     """
-    raw = raw_flows(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    raw = raw_flows(events)
     cleaned = ingest.drop_bad_rates(ingest.coerce_rates(ingest.clean_labels(raw)))
     return cleaned.withColumns(
         {

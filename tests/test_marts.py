@@ -38,7 +38,7 @@ def test_matrix_has_all_hours(make_flows):
     df = make_flows(*hostile(2, hour=3), *benign(1, hour=4))
     matrix = distribution.attack_hour_matrix(df)
     assert matrix.columns == ["attack_category"] + [f"h{h:02d}" for h in range(24)] + ["no_hour"]
-    assert rows(matrix) == [("DDoS", 0, 0, 0, 2, *[0] * 20)]
+    assert rows(matrix) == [("DDoS", 0, 0, 0, 2, *[0] * 21)]
 
 
 def test_threat_levels(make_flows):
