@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowmarts.functions.lookups import mapped
 from flowmarts.schema import LABEL_CATEGORIES, OTHER
 
-# Blanks that count as surrounding white space, Unicode separators included.
+# What counts as surrounding white space, as a damaged run and as the web-attack prefix.
 _BLANK = r"[\s\p{Z}\x0B\x1C-\x1F\x85]"
 _EDGES = rf"^{_BLANK}+|{_BLANK}+$"
 _DAMAGED = r"[^\x00-\x7F–—]+"

@@ -81,6 +81,9 @@ def exact_percentiles(
     ``metrics`` maps a numeric column to its percentiles.  The result of a percentile
     is the smallest value whose cumulative share of the category's non-null values
     reaches ``p``; it stands, with its own type, in the column of its metric.
+
+    Made for the closed list of categories: a few rows per category are broadcast. Values far
+    below 1 or beyond 2^53 share sub-buckets, and those of one sub-bucket are ranked in one task.
     """
     types = dict(flows.dtypes)
 
