@@ -19,6 +19,7 @@ from flowmarts.llm.shards import shuffle_key
 
 SEED = 29
 TEMPERATURE = 0.5
+MOST_RATE = 700
 
 
 def source_rates(docs: DataFrame, weights: Mapping[str, float] | None = None, target_rows: int | None = None, temperature: float = TEMPERATURE) -> DataFrame:
@@ -46,6 +47,7 @@ def poisson_count(u: Column, rate: Column) -> Column:
     """The least k at which the distribution function with mean ``rate`` exceeds ``u`` in [0, 1).
 
     The fold keeps the running term and sum until ``u`` is passed, over at most ``rate + 12 * sqrt(rate) + 30`` terms, beyond which less than 2 ** -53 is left.
+    It starts at ``exp(-rate)``, so the rate must not be above ``MOST_RATE``: that is 0 in a double from about 745.
     """
     most = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
     start = F.struct(F.exp(-rate).alias("term"), F.exp(-rate).alias("below"), F.lit(0).alias("k"))
@@ -65,6 +67,7 @@ def poisson_count(u: Column, rate: Column) -> Column:
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, target_rows: int | None = None, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
     """``docs`` with each row repeated by its draw, in a global random order, with ``copy`` (from 1), ``copies`` and ``mix_key``.
 
+    A rate above ``MOST_RATE`` is drawn as a sum of independent draws with equal parts of it, which is the same distribution.
     A row's draw depends on the seed, its ``doc_id`` and its text, so repeated rows are drawn alike and kept
     apart. A null source is a source of its own; a null id or text counts as empty. Columns of the input
     called like the added ones are replaced. An empty table gives an empty result.
@@ -75,12 +78,21 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, target_rows
     digest = shuffle_key(seed, F.col("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
     joined = join_table(plain, rates, ["source"])
 
-    def drawn(digest: Column) -> Column:
+    parts = F.greatest(F.lit(1), F.ceil(F.col("__rate") / MOST_RATE)).cast("int")
+
+    def uniform(digest: Column) -> Column:
         high, low = (F.conv(F.substring(digest, at, size), 16, 10).cast("double") for at, size in ((1, 8), (9, 5)))
-        u = (high * float(1 << 20) + low) / F.lit(math.ldexp(1.0, 52))
-        return F.struct(digest.alias("digest"), let(u, lambda x: poisson_count(x, F.col("__rate"))).alias("copies"))
+        return (high * float(1 << 20) + low) / F.lit(math.ldexp(1.0, 52))
+
+    def drawn(digest: Column) -> Column:
+        def count(part: Column) -> Column:
+            own = F.when(part == 0, digest).otherwise(shuffle_key(seed, digest, F.lit("part"), part))
+            return let(uniform(own), lambda u: poisson_count(u, F.col("__rate") / F.col("__parts")))
+
+        counts = F.transform(F.sequence(F.lit(0), F.col("__parts") - 1), count)
+        return F.struct(digest.alias("digest"), F.aggregate(counts, F.lit(0), lambda a, k: a + k).alias("copies"))
 
-    joined = joined.withColumn("__draw", let(digest, drawn))
+    joined = joined.withColumn("__parts", parts).withColumn("__draw", let(digest, drawn))
     at = F.posexplode(F.array_repeat(F.lit(True), F.col("__draw.copies")))
     copies = joined.select(*[joined[c] for c in plain.columns], "__draw", at.alias("__at", "__one"))
     keyed = copies.select(

@@ -110,6 +110,18 @@ def test_poisson_counts_have_their_mean(spark):
         assert abs(mean - rate) < 0.05 * rate and abs(square - mean**2 - rate) < 0.1 * rate
 
 
+@pytest.mark.parametrize("rate", [700, 800, 5_000])
+def test_poisson_counts_of_large_rates(spark, rate):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit("s").alias("source"))
+    n = mixing.mix(docs, target_rows=400 * rate).groupBy("doc_id").agg(F.count("*").alias("n"), F.max("copies").alias("copies"))
+    rows = n.collect()
+    mean = sum(r.n for r in rows) / 400
+    variance = sum((r.n - mean) ** 2 for r in rows) / 399
+    assert all(r.n == r.copies for r in rows)
+    assert abs(mean - rate) < 5 * (rate / 400) ** 0.5
+    assert abs(variance - rate) < 0.36 * rate
+
+
 def plain_measures(text):
     import re
 
