@@ -21,6 +21,9 @@ MIN_LINE_DOCS = 20
 LINE_SHARE_PERCENT = 10
 DEPLETED_PERCENT = 50
 FEW_REPEATS = 64
+BIN_SHIFT = 26
+BANDS = 21
+ALIKE_PERCENT = 60
 
 
 def normalised(line: Column) -> Column:
@@ -98,19 +101,76 @@ def base_measures(text: Column) -> Column:
     )
 
 
+def sketch(text: Column) -> Column:
+    """The least hash of each of 64 bins over the three-word windows of a text, ascending. Case and white space don't count.
+
+    Windows are compared by 32 bits, the leading six of which are the bin. A text of one or two words is one window; without words it is empty.
+    """
+
+    def window(*found: Column) -> Column:
+        return F.shiftright(F.xxhash64(*found), 32).cast("int")
+
+    def hashes(found: Column) -> Column:
+        last = F.size(found) - 3
+        windows = F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: window(F.get(found, i), F.get(found, i + 1), F.get(found, i + 2))
+        )
+        return F.when(F.size(found) > 0, windows).otherwise(F.array().cast("array<int>"))
+
+    return let(
+        F.sort_array(let(words(F.lower(text)), hashes)),
+        lambda s: F.filter(s, lambda h, k: (k == 0) | (F.shiftright(F.get(s, k - 1), BIN_SHIFT) != F.shiftright(h, BIN_SHIFT))),
+    )
+
+
+def near_copies(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All ``host, document``, and ``host, document, label`` of those that are near copies of another text of the host.
+
+    Texts that agree in a band of three bins meet in a bucket and are compared with a drawn member of it; those
+    alike in 60 of 100 bins are linked. Two steps along the links give a group one label; nothing is formed in pairs.
+    """
+    parts = F.transform(
+        F.sequence(F.lit(0), F.lit(BANDS - 1)),
+        lambda b: F.struct(b.alias("band"), F.filter("sketch", lambda h: F.pmod(F.shiftright(h, BIN_SHIFT), F.lit(BANDS)) == b).alias("part")),
+    )
+    buckets = F.transform(F.filter(parts, lambda x: F.size(x.part) > 0), lambda x: F.xxhash64(x))
+    made = texts.select("host", "document", sketch(F.col("text")).alias("sketch")).distinct()
+    made = checkpointed(made.withColumn("buckets", buckets))
+    held = made.select("host", "document", F.explode("buckets").alias("bucket"))
+    least = F.min(F.col("document").bitwiseXOR(F.col("bucket")))
+    counts = held.groupBy("host", "bucket").agg(F.count("*").alias("n"), least.alias("least")).where("n > 1")
+    drawn = checkpointed(counts.select("host", "bucket", F.col("least").bitwiseXOR(F.col("bucket")).alias("twin")))
+    pairs = join_table(held, drawn, ["host", "bucket"]).where("twin is not null").select("host", "document", "twin").distinct()
+    pairs = checkpointed(pairs)
+    met = pairs.where("twin <> document").select(F.explode(F.array("document", "twin")).alias("met")).distinct()
+    few = made.join(met, made.document == met.met, "left_semi")
+    one, two = (few.select(F.col("host").alias("h"), F.col("document").alias("d"), F.col("sketch").alias(name)) for name in ("own", "other"))
+    pairs = pairs.join(one, pairs.host.eqNullSafe(one.h) & (pairs.document == one.d)).drop("h", "d")
+    pairs = pairs.join(two, pairs.host.eqNullSafe(two.h) & (pairs.twin == two.d)).drop("h", "d")
+    alike = 100 * F.size(F.array_intersect("own", "other")) >= ALIKE_PERCENT * F.greatest(F.size("own"), F.size("other"))
+    links = checkpointed(pairs.where(alike).select("host", "document", "twin"))
+    first = links.groupBy(F.col("host").alias("h"), F.col("document").alias("d")).agg(F.min("twin").alias("label"))
+    steps = links.join(first, links.host.eqNullSafe(first.h) & (links.twin == first.d))
+    labels = steps.groupBy("host", "document").agg(F.min("label").alias("label")).where("label <> document")
+    return made.select("host", "document"), checkpointed(labels)
+
+
 def frequent_lines(docs: DataFrame, host: str = "source", min_docs: int = MIN_LINE_DOCS, percent: int = LINE_SHARE_PERCENT) -> DataFrame:
     """``host, removed``: hashes of the lines held by at least ``min_docs`` distinct documents of the host and
     by at least ``percent`` in a hundred of them.
 
-    Distinct documents are distinct texts: a document that was copied a thousand times vouches for its lines
-    once. Blank lines don't count. A host has at most ``100 / percent`` times its mean lines per document.
+    Near copies are one document: a text that was copied a thousand times, with a word changed or not, vouches
+    for its lines once. Blank lines don't count. A host has at most ``100 / percent`` times its mean lines per document.
     """
     texts = docs.select(F.col(host).cast("string").alias("host"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     texts = texts.withColumn("document", F.xxhash64("text"))
-    sizes = texts.select("host", "document").distinct().groupBy("host").agg(F.count("*").alias("n"))
+    documents, labels = near_copies(texts)
+    group = F.coalesce("label", "document").alias("document")
+    sizes = join_table(documents, labels, ["host", "document"]).select("host", group).distinct().groupBy("host").agg(F.count("*").alias("n"))
     lines = F.array_distinct(F.transform(lines_of(F.col("text")), normalised))
-    held = texts.select("host", "document", F.explode(lines).alias("line")).where("line <> ''")
-    held = held.select("host", "document", F.xxhash64("line").alias("line")).distinct()
+    hashed = F.transform(F.filter(lines, lambda line: line != ""), lambda line: F.xxhash64(line))
+    held = join_table(texts.select("host", "document", hashed.alias("lines")), labels, ["host", "document"])
+    held = held.select("host", group, F.explode("lines").alias("line")).distinct()
     counts = held.groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     above = join_table(counts, checkpointed(sizes), ["host"]).where(F.col("docs") * 100 >= F.col("n") * percent)
     return checkpointed(above.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("removed")))
@@ -130,23 +190,23 @@ def judge(docs: DataFrame, host: str = "source", min_docs: int = MIN_LINE_DOCS,
     table = frequent_lines(docs, host, min_docs, percent).withColumnRenamed("host", "__host")
     marked = join_table(key, table, ["__host"])
     text = F.col("text")
-    furniture = F.filter(
-        lines_of(text), lambda line: F.array_contains("removed", F.xxhash64(normalised(line))) & (normalised(line) != "")
-    )
-    staying = F.filter(
-        lines_of(text), lambda line: ~(F.array_contains("removed", F.xxhash64(normalised(line))) & (normalised(line) != ""))
+    sifted = let(
+        F.transform(lines_of(text), lambda line: F.struct(F.array_contains("removed", F.xxhash64(normalised(line))).alias("gone"), line.alias("line"))),
+        lambda lines: F.struct(
+            F.size(words(F.array_join(F.filter(lines, lambda x: x.gone).line, " "))).cast("long").alias("lost"),
+            F.array_join(F.filter(lines, lambda x: ~x.gone).line, "\n").alias("clean"),
+        ),
     )
-    lost = F.when(F.col("removed").isNull(), 0).otherwise(F.size(words(F.array_join(furniture, " "))))
-    clean = F.when(F.col("removed").isNull(), text).otherwise(F.array_join(staying, "\n"))
+    sifted = F.when(F.col("removed").isNull(), F.struct(F.lit(0).cast("long").alias("lost"), text.alias("clean"))).otherwise(sifted)
     rated = marked.select(
-        *[marked[c] for c in docs.columns], base_measures(text).alias("__m"), lost.cast("long").alias("__lost"), clean.alias("__clean")
+        *[marked[c] for c in docs.columns], base_measures(text).alias("__m"), sifted.alias("__sifted")
     )
     failed = (F.col("__m.n_words") < MIN_WORDS) | (100 * F.col("__m.n_repeat_words") > 50 * F.col("__m.n_words"))
-    stays = ~failed & (100 * F.col("__lost") <= depleted * F.col("__m.n_words"))
+    stays = ~failed & (100 * F.col("__sifted.lost") <= depleted * F.col("__m.n_words"))
     verdict = F.struct(
-        "__m.*", failed.alias("base_failed"), stays.alias("kept"), F.col("__lost").alias("n_removed_words"), F.col("__clean").alias("clean_text")
+        "__m.*", failed.alias("base_failed"), stays.alias("kept"), F.col("__sifted.lost").alias("n_removed_words"), F.col("__sifted.clean").alias("clean_text")
     )
-    return rated.withColumn("verdict", verdict).drop("__m", "__lost", "__clean")
+    return rated.withColumn("verdict", verdict).drop("__m", "__sifted")
 
 
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:

@@ -158,6 +158,41 @@ def test_frequent_lines_go_and_depleted_documents_too(spark):
     assert not any("Subscribe" in t for t in kept.values())
 
 
+def near_copies_of(base, n, first, draw):
+    """``n`` texts like ``base``, each with one word changed, in other case or with other white space."""
+    for i in range(n):
+        lines = [list(line) for line in base]
+        line = draw.choice(lines)
+        line[draw.randrange(len(line))] = f"other{first + i}"
+        text = "\n".join(" ".join(line) for line in lines)
+        yield (first + i, text.upper() if i % 10 == 1 else text.replace(" ", "  ") if i % 10 == 2 else text, "en", "s", len(text))
+
+
+@pytest.mark.parametrize("n_lines", [6, 20])
+def test_near_copies_vouch_once(spark, n_lines):
+    """1,000 near copies in one source leave a clean document that gets through to near-dedup; a footer still goes."""
+    import random
+
+    import corpus_pipeline
+
+    draw = random.Random(3)
+    base = [[f"w{draw.randrange(4_000)}" for _ in range(10)] for _ in range(n_lines)]
+    footer = "read more of this in our letter"
+    rows = list(near_copies_of(base, 1_000, 0, draw))
+    for i in range(300):
+        own = "\n".join(" ".join(f"v{draw.randrange(10**6)}" for _ in range(10)) for _ in range(8))
+        rows.append((5_000 + i, f"{own}\n{footer}" if i < 60 else own, "en", "s", 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    judged = {r.doc_id: r for r in line_quality.judge(docs).collect()}
+    assert all(judged[i].verdict.kept and judged[i].verdict.clean_text == judged[i].text for i in range(1_000))
+    assert not any(footer in judged[5_000 + i].verdict.clean_text for i in range(300))
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("quality", "exact_dedup", "near_dedup"):
+        docs = stages[name](spark, docs, "")
+    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    assert sum(i < 1_000 for i in ids) >= 1 and sum(i >= 5_000 for i in ids) == 300
+
+
 @pytest.mark.parametrize("operator", [exact_dedup.duplicates, shards.assign, mixing.mix, line_quality.judge])
 def test_empty_table(odd, operator):
     assert operator(odd.limit(0)).collect() == []
