@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowmarts.llm import exact_dedup, host_paths, licenses, line_quality, mixing, near_dup, personal_data, sentence_pieces, shards, toxicity
+from flowmarts.llm import (
+    conversation_repair,
+    exact_dedup,
+    host_paths,
+    licenses,
+    line_quality,
+    mixing,
+    near_dup,
+    packing,
+    personal_data,
+    repetitions,
+    sentence_pieces,
+    shards,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_paragraph_classifier": licenses.op1_paragraph_classifier,
@@ -19,4 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_stratified_shards": shards.op8_stratified_shards,
     "op9_chunk_recipes": exact_dedup.op9_chunk_recipes,
     "op10_levenshtein_lexicon": toxicity.op10_levenshtein_lexicon,
+    "op11_weighted_cyk": conversation_repair.op11_weighted_cyk,
+    "op12_synchronising_runs": repetitions.op12_synchronising_runs,
+    "op13_linear_grouping": packing.op13_linear_grouping,
 }
