@@ -52,18 +52,33 @@ TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 # Tokens
 
 
+def _letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if it is printable, else one from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + k) for k, b in enumerate(others)}}
+
+
 class Words:
-    """Ids of texts, word by word: no merge crosses a word of the tokenizer's pattern, and words repeat."""
+    """Ids of texts, word by word: no merge crosses a word of the tokenizer's pattern, and words repeat.
+
+    A word goes straight to the tokenizer's model, in the letters of its bytes. A special token's string is
+    ordinary text.
+    """
 
     def __init__(self, body: bytes):
-        self.tokenizer = Tokenizer.from_str(body.decode())
-        self.tokenizer.encode_special_tokens = True
+        self.merged = Tokenizer.from_str(body.decode()).model.tokenize
+        self.letters = _letters()
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.merged(letters)]).tobytes()
+
     def ids(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian 32-bit numbers; a special token's string is ordinary text."""
+        """Ids of each text as little-endian 32-bit numbers."""
         found = [self.split(t) for t in texts]
         met = set().union(*found).difference(self.known)
         if len(self.known) + len(met) > KEPT_WORDS:
@@ -72,8 +87,7 @@ class Words:
         back = met.intersection(self.older)
         self.known.update((w, self.older[w]) for w in back)
         fresh = list(met.difference(back))
-        for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.known[w] = array("I", e.ids).tobytes()
+        self.known.update((w, self.word(w)) for w in fresh)
         out = [b"".join([self.known[w] for w in words]) for words in found]
         for w in fresh:
             if len(w) > LONG_WORD:
