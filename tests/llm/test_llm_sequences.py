@@ -6,8 +6,10 @@ import zlib
 from hashlib import sha256
 
 import numpy as np
+import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from flowmarts.llm import conversation_repair, packing, repetitions
@@ -384,7 +386,9 @@ def test_words_join_to_the_whole(spark):
     random.seed(11)
     some = ["", " ", "  \n\n x", "a  b 　 c", "I'm you'll''s 'S 're", "é\U0001f600\U0001f468‍\U0001f469", "\x00\x1c\x1d\x85 a", "<|endoftext|> a<|endoftext|>", "x" * 30_000, " \t\r\n" * 500, "١٢ ⅷ ²½ 中文", "​﻿ a"]
     some += ["".join(random.choice("ab1 '\n\t.,-é中\U0001f600") for _ in range(300)) for _ in range(200)]
+    pattern = regex.compile(public_tokenizers.PATTERN)
     for text, body in zip(some, words.ids(some), strict=True):
+        assert words.split(text) == pattern.findall(text)
         assert np.frombuffer(body, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
