@@ -40,7 +40,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 GROUPS = 256
 WASTES = (1024, 16, 8, 4, 2, 1, 0)
 MOST = 4  # lengths above a fifth of the limit are large: at most four to a sequence
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 LONG_WORD = 64
 # The words of ``public_tokenizers.PATTERN``; what most words are is tried first, and nothing is tried twice.
 WORD = r" ?\p{L}++| ?\p{N}++|'(?:s|t|re|ve|m|ll|d)| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
@@ -61,40 +61,34 @@ def _letters() -> dict[int, str]:
     return {**{b: chr(b) for b in plain}, **{b: chr(256 + k) for k, b in enumerate(others)}}
 
 
-class Words:
-    """Ids of texts, word by word: no merge crosses a word of the tokenizer's pattern, and words repeat.
+class Words(dict):
+    """Ids of words, as little-endian 32-bit numbers: no merge crosses a word of the tokenizer's pattern, and words repeat.
 
     A word goes straight to the tokenizer's model, in the letters of its bytes. A special token's string is
-    ordinary text.
+    ordinary text. Words met lately are kept, ``KEPT_WORDS`` of them at least and twice as many at most.
     """
 
     def __init__(self, body: bytes):
+        super().__init__()
         self.merged = Tokenizer.from_str(body.decode()).model.tokenize
         self.letters = _letters()
         self.split = regex.compile(WORD).findall
-        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(self.letters)
-        return array("I", [token.id for token in self.merged(letters)]).tobytes()
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
-        found = [self.split(t) for t in texts]
-        met = set().union(*found).difference(self.known)
-        if len(self.known) + len(met) > KEPT_WORDS:
-            self.known, self.older = {}, self.known
-            met = set().union(*found)
-        back = met.intersection(self.older)
-        self.known.update((w, self.older[w]) for w in back)
-        fresh = list(met.difference(back))
-        self.known.update((w, self.word(w)) for w in fresh)
-        out = [b"".join([self.known[w] for w in words]) for words in found]
-        for w in fresh:
-            if len(w) > LONG_WORD:
-                del self.known[w]
-        return out
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            letters = word.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [token.id for token in self.merged(letters)]).tobytes()
+        if len(word) <= LONG_WORD:
+            if len(self) >= KEPT_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def ids(self, text: str) -> bytes:
+        return b"".join([self[w] for w in self.split(text)])
 
 
 def _cut(tokenizer: bytes, limit: int, end: int):
@@ -107,28 +101,26 @@ def _cut(tokenizer: bytes, limit: int, end: int):
             kept_here[tokenizer] = Words(tokenizer)
         words, last = kept_here[tokenizer], array("I", [end]).tobytes()
 
-        def cut(keys: list, texts: list[str]) -> pa.RecordBatch:
-            rows = []
-            for key, body in zip(keys, words.ids(texts), strict=True):
-                body += last
+        rows, chars = [], 0
+
+        def batch_of() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), TYPES, strict=True)], names=NAMES)
+
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = text.as_py() or ""
+                body = words.ids(text) + last
                 size = len(body) // 4
                 start, stop, piece = 0, (size - 1) % limit + 1, 0
                 while start < size:
                     rows.append((key, piece, start, stop - start, body[4 * start : 4 * stop]))
                     start, stop, piece = stop, stop + limit, piece + 1
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), TYPES, strict=True)], names=NAMES)
-
-        keys, texts, chars = [], [], 0
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                keys.append(key)
-                texts.append(text.as_py() or "")
-                chars += len(texts[-1])
+                chars += len(text)
                 if chars >= BLOCK_CHARS:
-                    yield cut(keys, texts)
-                    keys, texts, chars = [], [], 0
-        if keys:
-            yield cut(keys, texts)
+                    yield batch_of()
+                    rows, chars = [], 0
+        if rows:
+            yield batch_of()
 
     return run
 
