@@ -205,6 +205,12 @@ select attack_category,
        quantile_disc(flow_duration, 0.9) as p90_duration_us
 from flows group by attack_category"""
 
+# Sketches are random; what can be said in SQL is that each value is within the error stated.
+_ALL_WITHIN = """
+select distinct attack_category, true as p50_bytes, true as p90_bytes, true as p99_bytes,
+       true as p50_duration_us, true as p90_duration_us
+from flows"""
+
 _DISTRIBUTION = """
 select attack_category, count(*) as count,
        round(cast(count(*) as double) / (select count(*) from flows) * 100, 2) as percentage
@@ -511,6 +517,23 @@ from (select attack_category, {_SEVERITY} as severity from flows) group by all""
     "severity_totals": _flows(
         f"select severity, count(*) as count from (select {_SEVERITY} as severity from flows) group by 1"
     ),
+    "flow_percentiles": _flows(_PERCENTILES),
+    "percentile_sketch_errors": _flows(_ALL_WITHIN),
+    "stored_percentiles": _flows(_ALL_WITHIN),
+    "stored_distinct": _flows(
+        "select distinct attack_category, true as source_ip, true as destination_ip, true as destination_port from flows"
+    ),
+    "stored_traffic_cube": _flows(
+        f"""select attack_category, label, protocol, hour, {_SEVERITY} as severity, count(*) as flow_weight,
+  count(*) filter (where syn_flag_count > 5) as high_syn_weight, max(flow_bytes_s) as flow_bytes_s_max, count(flow_duration) as flow_duration_n
+from flows group by all"""
+    ),
+    "stored_category_port": _flows("select attack_category, destination_port, count(*) as flow_weight from flows group by all"),
+    "stored_ip_category": _flows("select source_ip, attack_category, count(*) as flow_weight from flows group by all"),
+    "stored_ip_port": _flows(
+        """select source_ip, destination_port, count(*) as flow_weight,
+  count(*) filter (where attack_category <> 'Benign') as attack_weight from flows group by all"""
+    ),
     "percentile_rank_errors": _flows(
         """select attack_category, share, true as within from (select distinct attack_category from flows)
 cross join (values (0.5::double), (0.9::double), (0.99::double)) p(share)"""

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from flowmarts.functions import numbers
 from flowmarts.operators import bruteforce, counting, distribution, ingest, ip, percentiles
-from flowmarts.operators import ranking, severity, timings, traffic
+from flowmarts.operators import ranking, severity, sketches, timings, traffic
 from flowmarts.plans import jobs, rollups, sql
+from flowmarts.plans.rollup_store import RollupStore
 from flowmarts.schema import MART_SCHEMAS, NAME_TO_HEADER
 from flowmarts.session import shared_dir
 from checks import events as source
@@ -134,6 +135,37 @@ def _written_flows(fmt: str) -> Query:
     return written
 
 
+# -- sketches and rollups per date ----------------------------------------------
+
+
+def _store(spark: SparkSession, sf_dir: str) -> RollupStore:
+    """A rollup store filled in two runs, of which the second finds the dates of the first among its flows."""
+    store = RollupStore(spark, _fresh(spark, "store"))
+    flows = source.flows(spark, sf_dir)
+    store.add(flows.filter(F.dayofmonth("date") % 2 == 0))
+    store.add(flows)
+    return store
+
+
+def _stored(name: str, columns: list[str]) -> Query:
+    return lambda spark, sf_dir: _store(spark, sf_dir).read(name).select(*columns)
+
+
+def _stored_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the distinct counts over all dates, merged from sketches per date, are within five standard errors."""
+    found = _store(spark, sf_dir).distinct().withColumnRenamed("attack_category", "_category")
+    exact = source.flows(spark, sf_dir).groupBy("attack_category").agg(*[F.count_distinct(c).alias(c) for c in sketches.DISTINCT])
+    error = 5 * 1.04 / 2 ** (sketches.HLL_BITS / 2)
+    near = [(F.abs(F.col(f"unique_{c}") - F.col(c)) <= F.greatest(error * F.col(c), F.lit(0.5))).alias(c) for c in sketches.DISTINCT]
+    return exact.join(found, F.col("attack_category").eqNullSafe(F.col("_category"))).select("attack_category", *near)
+
+
+def _stored_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the percentiles over all dates, merged from sketches per date, are within their rank error."""
+    flows = source.flows(spark, sf_dir)
+    return sketches.within_rank_error(flows, _store(spark, sf_dir).percentiles(), sketches.kll_rank_error())
+
+
 # -- marts on disk ----------------------------------------------------------------
 
 
@@ -411,6 +443,14 @@ QUERIES: dict[str, Query] = {
     "severity_pandas_udf": _severity_rows(user_function=True),
     "severity_distribution": _on_flows(severity.severity_distribution),
     "severity_totals": _on_flows(severity.severity_totals),
+    "flow_percentiles": _on_flows(lambda f: sql.flow_percentiles(f, accuracy=20_000)),
+    "percentile_sketch_errors": _on_flows(sketches.percentile_sketch_errors),
+    "stored_percentiles": _stored_percentiles,
+    "stored_distinct": _stored_distinct,
+    "stored_traffic_cube": _stored("traffic_cube", ["attack_category", "label", "protocol", "hour", "severity", "flow_weight", "high_syn_weight", "flow_bytes_s_max", "flow_duration_n"]),
+    "stored_category_port": _stored("category_port", ["attack_category", "destination_port", "flow_weight"]),
+    "stored_ip_category": _stored("ip_category", ["source_ip", "attack_category", "flow_weight"]),
+    "stored_ip_port": _stored("ip_port", ["source_ip", "destination_port", "flow_weight", "attack_weight"]),
     "percentile_rank_errors": _on_flows(sql.percentile_rank_errors),
     "flow_percentiles_exact": _on_flows(percentiles.flow_percentiles_exact),
     # timings

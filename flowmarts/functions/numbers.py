@@ -41,3 +41,25 @@ def thousands(value: Column) -> Column:
 def title_words(key: Column) -> Column:
     """``failed_logins`` as ``Failed Logins``."""
     return F.initcap(F.replace(key, F.lit("_"), F.lit(" ")))
+
+
+_ALL_BUT_SIGN = (1 << 63) - 1
+
+
+def _of_java_double(method: str, value: Column) -> Column:
+    return F.java_method(F.lit("java.lang.Double"), F.lit(method), value)
+
+
+def order_of_double(value: Column) -> Column:
+    """A bigint of the order of the doubles, different for different ones; NaN is the greatest, -0.0 is 0.0.
+
+    The bits of the IEEE form are in order for numbers from 0 on; below 0 all but the sign are turned over.
+    """
+    bits = _of_java_double("doubleToLongBits", F.coalesce(value, F.lit(0.0)) + 0.0).cast("bigint")
+    return F.when(value.isNotNull(), F.when(value < 0, bits.bitwiseXOR(F.lit(_ALL_BUT_SIGN))).otherwise(bits))
+
+
+def double_of_order(order: Column) -> Column:
+    """The double that ``order_of_double`` has made into this number."""
+    bits = F.when(order < 0, order.bitwiseXOR(F.lit(_ALL_BUT_SIGN))).otherwise(order)
+    return F.when(order.isNotNull(), _of_java_double("longBitsToDouble", F.coalesce(bits, F.lit(0))).cast("double"))

@@ -8,6 +8,8 @@ port or category: at most 65,536 and about ten of them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,16 +20,16 @@ from flowmarts.schema import ATTACK_THRESHOLD, BENIGN, TOP_CORRELATED, TOP_SUSPI
 IP = "source_ip"
 
 
-def ip_category_counts(flows: DataFrame) -> DataFrame:
-    """Rollup: flows per address and category; a frame that already is one passes."""
-    if set(flows.columns) == {IP, "attack_category", WEIGHT}:
+def ip_category_counts(flows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Rollup: flows per address and category; a frame that already is one passes.  ``extra`` are keys before these."""
+    if set(flows.columns) == {*extra, IP, "attack_category", WEIGHT}:
         return flows
-    return flows.groupBy(IP, "attack_category").agg(flow_count(flows).alias(WEIGHT))
+    return flows.groupBy(*extra, IP, "attack_category").agg(flow_count(flows).alias(WEIGHT))
 
 
-def ip_port_counts(flows: DataFrame) -> DataFrame:
+def ip_port_counts(flows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Rollup: flows and hostile flows per address and destination port."""
-    return flows.groupBy(IP, "destination_port").agg(
+    return flows.groupBy(*extra, IP, "destination_port").agg(
         flow_count(flows).alias(WEIGHT), flow_count_if(flows, attack()).alias("attack_weight")
     )
 

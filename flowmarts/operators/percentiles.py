@@ -1,59 +1,50 @@
 """Exact percentiles per attack category without gathering a category's values.
 
-``percentile`` keeps a map of all values of a group in one task, and merging
-``percentile_approx`` summaries of many input splits funnels into one task per
-group.  Here each percentile is narrowed down in three counting passes instead:
-
-1. count per (category, logarithmic bucket) and find the bucket holding the rank;
-2. within that bucket, count per linear sub-bucket and find that one;
-3. within the sub-bucket, count per value and take the value at the rank.
-
-Both bucket functions never decrease as the value grows, so the order of buckets is
-the order of values and the answer is exact for any data; the bucket sizes only
-steer how much is counted.  Counts are combined before every shuffle.  Pass 1 has at
-most 2 * 4096 * ln(1.8e308), about 5.8 million, buckets per category and in practice
-some ten thousand; pass 2 splits a bucket in about a million; a sub-bucket
-then holds about a million representable doubles for values of size 1 and above.
+``percentile`` keeps a map of all values of a group in one task.  Here each percentile is
+selected by radix instead.  A value becomes a 64-bit whole number of the same order, and three
+passes narrow it down by 22, 21 and 21 of its bits:
+
+1. count per (category, metric, first bits) and find the bits at the rank;
+2. among rows with these bits, count per next bits and find those;
+3. once more for the last bits, which complete the number and thereby the value.
+
+The result is exact for any data, and no running count is over more than 2^22 rows, whatever
+the values are.  Counts are combined before every shuffle, and a pass scans the table once for
+all metrics.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmarts.functions.lookups import first_match
+from flowmarts.functions.numbers import double_of_order, order_of_double
 
 GROUP = "attack_category"
 _KEY = (GROUP, "metric")
 
-_COARSE = 4096.0  # buckets per factor of e
-_FINE = float(2**20)  # sub-buckets per bucket
-_LAST_BUCKET = 2**40  # of infinity; NaN sorts after every number, in the next one
-
-
-def _coarse(value: Column) -> Column:
-    x = value.cast("double")
-    bucket = F.floor(F.signum(x) * F.log1p(F.abs(x)) * _COARSE)
-    bounded = F.greatest(F.least(bucket, F.lit(_LAST_BUCKET)), F.lit(-_LAST_BUCKET))
-    return F.when(F.isnan(x), F.lit(_LAST_BUCKET + 1)).otherwise(bounded)
+_SLICES = ((42, 22), (21, 21), (0, 21))  # shift and width of the bits of each pass
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+_REAL = ("float", "double")
 
 
-def _fine(x: Column, bucket: Column) -> Column:
-    base = F.signum(bucket) * F.expm1(F.abs(bucket) / _COARSE)
-    place = F.floor((x - base) * (_COARSE * _FINE) / (F.abs(base) + 1))
-    return F.when(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(0)).otherwise(place)
+def _slice(turn: int) -> Column:
+    shift, width = _SLICES[turn]
+    bits = F.shiftright("key", shift)
+    # The first bits keep the sign, the others are counted from 0.
+    return bits if turn == 0 else bits.bitwiseAND(F.lit((1 << width) - 1))
 
 
-def _at_rank(counts: DataFrame, position: Sequence[str]) -> DataFrame:
-    """The row of each key at whose ``position`` the running count reaches ``rank``,
+def _at_rank(counts: DataFrame, bits: str) -> DataFrame:
+    """The row of each percentile at whose ``bits`` the running count reaches ``rank``,
     with ``rank`` made relative to that row."""
     running = (
         Window.partitionBy(*_KEY, "p")
-        .orderBy(*position)
+        .orderBy(bits)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     below = counts.withColumn("below", F.sum("n").over(running) - F.col("n"))
@@ -62,15 +53,21 @@ def _at_rank(counts: DataFrame, position: Sequence[str]) -> DataFrame:
     return hit.withColumn("rank", rank - start).drop("n", "below")
 
 
-def _inside(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows whose coarse bucket was found, with all columns of ``found``.
+def _local(found: DataFrame) -> DataFrame:
+    """``found`` computed now, so that a pass is run once; it has a row per category, metric and percentile."""
+    return found.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
+def _inside(rows: DataFrame, found: DataFrame, slices: Sequence[str]) -> DataFrame:
+    """Rows of ``rows`` with the category, metric and ``slices`` of a row of ``found``, with the columns of both.
 
     ``found`` has one row per category, metric and percentile; categories come from a
     closed list of ten, so the broadcast is a few dozen rows at any data size.
     """
-    left = rows.withColumnsRenamed({c: f"_{c}" for c in (*_KEY, "coarse")})
-    same = [F.col(f"_{c}").eqNullSafe(F.col(c)) for c in (*_KEY, "coarse")]
-    return left.join(F.broadcast(found), same)
+    shared = [*_KEY, *slices]
+    left = rows.withColumnsRenamed({c: f"_{c}" for c in shared})
+    same = [F.col(f"_{c}").eqNullSafe(F.col(c)) for c in shared]
+    return left.join(F.broadcast(found), same).drop(*[f"_{c}" for c in shared])
 
 
 def exact_percentiles(
@@ -80,20 +77,25 @@ def exact_percentiles(
 
     ``metrics`` maps a numeric column to its percentiles.  The result of a percentile
     is the smallest value whose cumulative share of the category's non-null values
-    reaches ``p``; it stands, with its own type, in the column of its metric.
+    reaches ``p``; it stands, with its own type, in the column of its metric.  NaN is
+    above every number, and -0.0 is 0.0.
 
-    Made for the closed list of categories: a few rows per category are broadcast. Values far
-    below 1 or beyond 2^53 share sub-buckets, and those of one sub-bucket are ranked in one task.
+    Made for the closed list of categories: a few rows per category pass the driver and are broadcast.
+    The passes run when this is called.
     """
     types = dict(flows.dtypes)
+    for column in metrics:
+        if types[column] not in (*_WHOLE, *_REAL):
+            raise TypeError(f"{column} is {types[column]}, not a whole number or a double")
+
+    def key(column: str) -> Column:
+        if types[column] in _WHOLE:
+            return F.col(column).cast("bigint")
+        return order_of_double(F.col(column).cast("double"))
 
-    def values_of(column: str) -> DataFrame:
-        # Each branch scans its own column only.
-        slots = [F.col(c) if c == column else F.lit(None).cast(types[c]).alias(c) for c in metrics]
-        present = flows.filter(F.col(column).isNotNull())
-        place = _coarse(F.col(column)).alias("coarse")
-        exact = F.col(column).cast("double").alias("_x")
-        return present.select(GROUP, F.lit(column).alias("metric"), place, exact, *slots)
+    keyed = flows.select(GROUP, *[key(c).alias(f"_{i}") for i, c in enumerate(metrics)])
+    stacked = [F.struct(F.lit(c).alias("metric"), F.col(f"_{i}").alias("key")) for i, c in enumerate(metrics)]
+    rows = keyed.select(GROUP, F.inline(F.array(*stacked))).filter(F.col("key").isNotNull())
 
     def wanted(column: str) -> Column:
         rank_of = [
@@ -105,34 +107,31 @@ def exact_percentiles(
         ]
         return F.array(*rank_of)
 
-    rows = reduce(DataFrame.unionByName, [values_of(c) for c in metrics])
     ranks = first_match(
         [(F.col("metric") == c, wanted(c)) for c in metrics], F.lit(None)
     )
     first = (
-        rows.groupBy(*_KEY, "coarse")
+        rows.groupBy(*_KEY, _slice(0).alias("s0"))
         .agg(F.count("*").alias("n"))
         .withColumn("total", F.sum("n").over(Window.partitionBy(*_KEY)))
-        .select(*_KEY, "coarse", "n", F.inline(ranks))
-    )
-    bucket = _at_rank(first, ["coarse"])
-
-    # The sub-bucket is computed from the found side, so only for rows that matched.
-    fine = _fine(F.col("_x"), F.col("coarse"))
-    second = (
-        _inside(rows, bucket)
-        .groupBy(*_KEY, "p", "rank", "coarse", fine.alias("fine"))
-        .agg(F.count("*").alias("n"))
-    )
-    sub_bucket = _at_rank(second, ["fine"])
-
-    third = (
-        _inside(rows, sub_bucket)
-        .filter(fine == F.col("fine"))
-        .groupBy(*_KEY, "p", "rank", *metrics)
-        .agg(F.count("*").alias("n"))
+        .select(*_KEY, "s0", "n", F.inline(ranks))
     )
-    return _at_rank(third, list(metrics)).select(*_KEY, "p", *metrics)
+    found = _local(_at_rank(first, "s0"))
+    for turn in (1, 2):
+        known = [f"s{i}" for i in range(turn)]
+        sliced = rows.select(*_KEY, *[_slice(i).alias(f"s{i}") for i in range(turn + 1)])
+        # Percentiles of one slice count its rows once; each then takes the counts.
+        reached = found.select(*_KEY, *known).distinct()
+        counts = _inside(sliced, reached, known).groupBy(*_KEY, *known, f"s{turn}").agg(F.count("*").alias("n"))
+        found = _local(_at_rank(_inside(counts, found, known), f"s{turn}"))
+
+    whole = F.shiftleft("s0", 42).bitwiseOR(F.shiftleft("s1", 21)).bitwiseOR(F.col("s2"))
+
+    def value(column: str) -> Column:
+        own = double_of_order(whole) if types[column] in _REAL else whole
+        return F.when(F.col("metric") == column, own.cast(types[column])).alias(column)
+
+    return found.select(*_KEY, "p", *[value(c) for c in metrics])
 
 
 # Percentiles of the report.

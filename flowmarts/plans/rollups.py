@@ -9,6 +9,7 @@ and a lost executor costs a re-read, not a recomputation.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
 from threading import Lock
 
@@ -21,17 +22,17 @@ from flowmarts.operators.severity import with_severity
 from flowmarts.schema import SYN_THRESHOLD
 from flowmarts.session import shared_dir
 
-_MEASURES = ("flow_bytes_s", "flow_packets_s", "flow_duration", "syn_flag_count")
+MEASURES = ("flow_bytes_s", "flow_packets_s", "flow_duration", "syn_flag_count")
 
 
-def traffic_cube(flows: DataFrame) -> DataFrame:
+def traffic_cube(flows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Counts and sums by category, label, protocol, hour and severity: a few thousand
     rows for the known labels, more as unknown ones occur.  Sums are doubles, as a sum of microseconds over 10^12
-    flows leaves the range of a 64-bit integer."""
-    keys = ["attack_category", "label", "protocol", "hour", "severity"]
+    flows leaves the range of a 64-bit integer.  ``extra`` are keys before these."""
+    keys = [*extra, "attack_category", "label", "protocol", "hour", "severity"]
     sums = [
         measure
-        for c in _MEASURES
+        for c in MEASURES
         for measure in (F.sum(F.col(c).cast("double")).alias(f"{c}_sum"), F.count(c).alias(f"{c}_n"))
     ]
     return with_severity(flows).groupBy(*keys).agg(
@@ -42,9 +43,9 @@ def traffic_cube(flows: DataFrame) -> DataFrame:
     )
 
 
-def category_port_counts(flows: DataFrame) -> DataFrame:
+def category_port_counts(flows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Flows per category and destination port: at most 65,537 rows per category."""
-    return flows.groupBy("attack_category", "destination_port").agg(F.count("*").alias(WEIGHT))
+    return flows.groupBy(*extra, "attack_category", "destination_port").agg(F.count("*").alias(WEIGHT))
 
 
 BUILDERS = {

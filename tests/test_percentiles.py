@@ -1,9 +1,13 @@
+import itertools
 import math
 import random
+import struct
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
+from flowmarts.functions.numbers import double_of_order, order_of_double
 from flowmarts.operators.percentiles import exact_percentiles, flow_percentiles_exact
 from flowmarts.plans.sql import flow_percentiles, percentile_rank_errors
 
@@ -63,6 +67,45 @@ def test_report_forms_agree(flows):
     assert all(r.within for r in percentile_rank_errors(flows).collect())
 
 
+def test_order_of_doubles(spark):
+    rng = random.Random(6)
+    edges = [0.0, 2.0**-1074, 2.0**-1023, 2.0**-1022, 2.0**-1022 - 2.0**-1074, 1.0, 3.0, 1e-11, 2.0**53, 1.7976931348623157e308, math.inf]
+    edges += [math.nextafter(2.0**e, d) for e in range(-1070, 1024, 7) for d in (0.0, math.inf)] + [2.0**e for e in range(-1074, 1024)]
+    edges += [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3_000)]
+    values = sorted({v for x in edges if not math.isnan(x) for v in (x, -x)})
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    rows = df.select("x", order_of_double(F.col("x")).alias("k")).select("x", "k", double_of_order(F.col("k")).alias("back")).collect()
+    assert all(r.back == r.x for r in rows)
+    keys = {r.x: r.k for r in rows}
+    assert all(keys[a] < keys[b] for a, b in itertools.pairwise(values))
+    odd = spark.createDataFrame([(-0.0,), (math.nan,), (None,)], "x double").select(order_of_double(F.col("x")).alias("k")).collect()
+    assert odd[0].k == 0 and odd[1].k > keys[math.inf] and odd[2].k is None
+
+
+@pytest.mark.parametrize("kind", ["tiny", "near_2_62", "mixed"])
+def test_many_different_values_in_a_narrow_range(spark, kind):
+    """Values that share their leading digits still part by their bits: no step counts over more than 2^22 slices."""
+    n = 200_000
+    x, y = {
+        "tiny": ("rand(3) * 1e-11", "id"),
+        "near_2_62": ("1.0D + id * 2.220446049250313E-16D", "4611686018427387904 - id * 3"),
+        "mixed": ("pow(10.0D, id % 600 - 300) * (id % 7 - 3)", "id * 46116860184273 - 4611686018427387904"),
+    }[kind]
+    df = spark.range(n).selectExpr("'Benign' as attack_category", f"{x} as x", f"{y} as y")
+    rows = df.collect()
+    found = exact_percentiles(df, {"x": PROBABILITIES, "y": PROBABILITIES}).collect()
+    for metric in ("x", "y"):
+        values = sorted(r[metric] for r in rows)
+        want = {p: values[max(1, math.ceil(Fraction(str(p)) * n)) - 1] for p in PROBABILITIES}
+        assert {r.p: r[metric] for r in found if r.metric == metric} == want
+
+
+def test_other_types_are_refused(spark):
+    df = spark.createDataFrame([("Benign", "1")], "attack_category string, x string")
+    with pytest.raises(TypeError, match="x is string"):
+        exact_percentiles(df, {"x": (0.5,)})
+
+
 def test_single_flow(make_flows):
     df = make_flows({"flow_bytes_s": 12.345, "flow_duration": 9})
     want = ("Benign", 12.35, 12.35, 12.35, 9, 9)
