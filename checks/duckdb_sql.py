@@ -547,6 +547,25 @@ cross join (values (0.5::double), (0.9::double), (0.99::double)) p(share)"""
   flow_bytes_s, flow_packets_s, syn_flag_count, label, attack_category, {_FILE_DATE} as date,
   case when source_file <> 'capture.csv' then cast(hour(ts) as integer) end as parsed_hour
 from raw where flow_bytes_s is not null and flow_packets_s is not null)"""
+    ),
+    "ingest_report": _raw(
+        """select source_file, cast(sum(copies) as bigint) as raw_rows,
+  cast(sum(case when bad then copies else 0 end) as bigint) as bad_rate_rows,
+  cast(sum(case when bad then 0 else copies - 1 end) as bigint) as repeated_rows,
+  cast(sum(case when bad then 0 else 1 end) as bigint) as saved_rows
+from (select source_file, flow_id, flow_bytes_s is null or flow_packets_s is null as bad,
+             count(*) as copies from raw group by all)
+group by source_file"""
+    ),
+    # filters
+    "ingest_categories": _raw(
+        """select attack_category, count(*) as flows from (select distinct source_file, flow_id, attack_category
+from raw where flow_bytes_s is not null and flow_packets_s is not null) group by 1"""
+    ),
+    "ingest_extras": _raw(
+        """select distinct flow_id, case when source_file = 'Monday-WorkingHours.csv' then 20 end::bigint as fwd_header_length,
+  case when source_file = 'Monday-WorkingHours.csv' then 21.5 end::double as fwd_header_length_1, 'bigint' as fwd_header_length_type, 'double' as fwd_header_length_1_type
+from raw where flow_bytes_s is not null and flow_packets_s is not null"""
     ),
     # timings
     "bench_compare": _TIMED

@@ -231,13 +231,13 @@ def _job_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ran.join(counts, "job", "left").select("job", "status", F.coalesce("marts", F.lit(0)).alias("marts"))
 
 
-def _raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty captures as CSV files in one folder, through ``run_ingest``, and the table read back.
+def _captures(spark: SparkSession, sf_dir: str) -> str:
+    """Dirty captures as CSV files in one folder.
 
     Three headers: names padded with blanks and one repeated, another column order, and one without the
     timestamp. A merged file of an earlier run lies beside them.
     """
-    folder, table = _fresh(spark, "captures"), _fresh(spark, "table")
+    folder = _fresh(spark, "captures")
     raw = _raw(spark, sf_dir).withColumn("ts", F.col("ts").cast("string"))
     columns = ["flow_id", "destination_port", "protocol", "ts", "flow_duration", "flow_bytes_s", "flow_packets_s", "syn_flag_count", "label"]
     have = [c for c in columns if c in raw.columns]
@@ -247,17 +247,40 @@ def _raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order]
         if name == "Monday-WorkingHours.csv":
             headers = [f" {h} " for h in headers] + ["Fwd Header Length", "Fwd Header Length"]
-            cells += [F.lit("20"), F.lit("21")]
+            cells += [F.lit("20"), F.lit("21.5")]
         rows = raw.where(F.col("source_file") == name).select(F.concat_ws(",", *cells).alias("line"))
         _csv_file(spark, ",".join(headers), rows, f"{folder}/all/{name}")
     _csv_file(spark, ",".join(headers), rows, f"{folder}/all/combined_2017.csv")
-    jobs.run_ingest(spark, f"{folder}/all", table)
+    return f"{folder}/all"
+
+
+def _raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty captures through ``run_ingest``, and the table read back."""
+    table = _fresh(spark, "table")
+    jobs.run_ingest(spark, _captures(spark, sf_dir), table)
     return flow_table.read_flows(spark, table).select(
         "flow_id", "destination_port", "flow_duration", "flow_bytes_s", "flow_packets_s", "syn_flag_count", "label", "attack_category", "date",
         F.when(F.col("ts").isNotNull(), F.col("hour")).alias("parsed_hour"),
     )
 
 
+def _ingest_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns beyond the listed ones, with the types that their values have given them."""
+    table = _fresh(spark, "table")
+    jobs.run_ingest(spark, _captures(spark, sf_dir), table)
+    kinds = [F.typeof(c).alias(f"{c}_type") for c in ("fwd_header_length", "fwd_header_length_1")]
+    return flow_table.read_flows(spark, table).select("flow_id", "fwd_header_length", "fwd_header_length_1", *kinds)
+
+
+def _ingest_reported(part: str) -> Query:
+    """What ``run_ingest`` returns beside the table."""
+
+    def reported(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return getattr(jobs.run_ingest(spark, _captures(spark, sf_dir), _fresh(spark, "table")), part)
+
+    return reported
+
+
 def _csv_file(spark: SparkSession, header: str, lines: DataFrame, to: str) -> None:
     """A header and its lines as one file of that name, as a capture tool would leave it."""
     made = f"{to}.parts"
@@ -458,4 +481,7 @@ QUERIES: dict[str, Query] = {
     "bench_overall": _overall,
     "job_timings": _job_timings,
     "ingest_raw_csv": _raw_csv,
+    "ingest_report": _ingest_reported("audit"),
+    "ingest_categories": _ingest_reported("categories"),
+    "ingest_extras": _ingest_extras,
 }

@@ -8,6 +8,7 @@ added, so that two copies of a row cannot differ by them.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,6 +142,11 @@ def add_protocol(flows: DataFrame) -> DataFrame:
     return flows.withColumn("protocol", infer_protocol(F.col("destination_port")))
 
 
+def repaired(raw: DataFrame) -> DataFrame:
+    """Labels, categories and rates put right, reserved names set aside; every row is still there."""
+    return coerce_rates(clean_labels(set_aside(raw)))
+
+
 def clean_flows(
     raw: DataFrame,
     keys: Sequence[str] | None = None,
@@ -154,23 +160,76 @@ def clean_flows(
     ``keys`` narrows what the representative values depend on.
     """
     cleaned = drop_bad_rates(coerce_rates(alike(clean_labels(set_aside(raw)), types)))
-    flows = _digested(type_columns(drop_repeats(cleaned), types), keys, seed)
+    return finished(drop_repeats(cleaned), keys, seed, types)
+
 
+def finished(
+    unrepeated: DataFrame,
+    keys: Sequence[str] | None = None,
+    seed: int = draws.DEFAULT_SEED,
+    types: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Types, representative values, hour, date and protocol; row by row, so equal rows have equal values."""
+    have = unrepeated.columns
+    flows = _digested(type_columns(unrepeated, types), keys, seed)
     added: dict[str, Column] = {}
-    if "source_ip" not in raw.columns:
+    if "source_ip" not in have:
         added["source_ip"] = draws.source_address(F.col("attack_category"), F.col(_DIGEST))
-    if "destination_ip" not in raw.columns:
+    if "destination_ip" not in have:
         added["destination_ip"] = draws.destination_address(F.col(_DIGEST))
-    if "ts" not in raw.columns:
+    if "ts" not in have:
         added["hour"] = _hour_draw()
-    added.update(_port_columns(raw))
+    added.update(_port_columns(unrepeated))
     flows = flows.withColumns(added).drop(_DIGEST)
-
-    if "ts" in raw.columns:
+    if "ts" in have:
         flows = add_hour(flows)
     return add_protocol(add_date(flows))
 
 
+def content_key(columns: Sequence[Column]) -> Column:
+    """SHA-256 of the columns, each with its length, so that equal keys mean equal rows; null is null's own value."""
+    texts = [c.cast("string") for c in columns]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.unhex(F.sha2(F.concat(*parts).cast("binary"), 256))
+
+
+# Texts that stand for a missing value in a column of numbers.
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+_ORDER = ("double", "bigint", "double", "string")  # nothing but missing values, whole numbers, numbers, text
+
+
+def column_order(column: Column) -> Column:
+    """Place of a text in the order of types: 0 missing, 1 a whole number, 2 a number, 3 other text."""
+    text = F.trim(column)
+    whole = text.rlike(r"^[-+]?[0-9]+$") & text.try_cast("bigint").isNotNull()
+    missing = column.isNull() | text.isin(*MISSING)
+    return F.when(missing, 0).when(whole, 1).when(text.try_cast("double").isNotNull(), 2).otherwise(3)
+
+
+def unlisted(raw: DataFrame, types: Mapping[str, str] | None = None) -> list[str]:
+    """Text columns that neither the flow table nor ``types`` has a type for."""
+    known = {*NAME_TO_TYPE, *(types or {}), FILE}
+    return [n for n, dtype in raw.dtypes if dtype == "string" and n not in known]
+
+
+def inferred_types(captures: Sequence[DataFrame], types: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Types of the unlisted columns, each over all captures that have it: ``bigint``, ``double`` or ``string``.
+
+    One aggregated pass over these columns alone. A column is as wide as its widest value; one with missing values
+    only is a double.
+    """
+    found: dict[str, int] = {}
+    orders = []
+    for raw in captures:
+        names = unlisted(raw, types)
+        if names:
+            widest = [F.struct(F.lit(n).alias("name"), F.coalesce(F.max(column_order(F.col(n))), F.lit(0)).alias("place")) for n in names]
+            orders.append(raw.agg(F.array(*widest).alias("all")).select(F.inline("all")))
+    for row in reduce(DataFrame.union, orders).collect() if orders else []:
+        found[row.name] = max(found.get(row.name, 0), row.place)
+    return {name: _ORDER[place] for name, place in found.items()}
+
+
 def ingest_audit(raw: DataFrame) -> DataFrame:
     """Rows read, dropped for bad rates, removed as repeats and kept, per file.
 

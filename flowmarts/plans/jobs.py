@@ -8,11 +8,11 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowmarts.operators import bruteforce, distribution, ingest, ip, percentiles, ranking
+from flowmarts.operators import bruteforce, distribution, ip, percentiles, ranking
 from flowmarts.operators import severity, traffic
+from flowmarts.plans.capture_load import LoadReport, load_captures
 from flowmarts.plans.rollups import Rollups, attack_profile
-from flowmarts.sources.flow_table import conform, write_flows
-from flowmarts.sources.raw import read_captures, union_captures
+from flowmarts.sources.flow_table import conform
 from flowmarts.sources.sinks import write_document, write_marts
 
 Marts = dict[str, DataFrame]
@@ -144,12 +144,11 @@ def run_ingest(
     table: str,
     fmt: str = "parquet",
     types: Mapping[str, str] | None = None,
-) -> None:
-    """Raw captures to the partitioned flow table: a pass for the headers, then one over the rows, with a
-    shuffle for the repeats and one for the layout of the table.
+) -> LoadReport:
+    """Raw captures to the partitioned flow table, with one read of the files and one shuffle of whole rows.
 
-    What a capture lacks is added by its own header, then the captures are united.
-    ``types`` gives types to columns beyond the listed ones.
+    Returns the audit per file and the saved flows per category. What a capture lacks is added by its own
+    header, then the captures are united. ``types`` gives types to columns beyond the listed ones;
+    others get a type from their values.
     """
-    cleaned = [ingest.clean_flows(c, types=types) for c in read_captures(spark, raw_paths)]
-    write_flows(conform(union_captures(*cleaned).drop(ingest.FILE)), table, fmt)
+    return load_captures(spark, raw_paths, table, fmt, types)

@@ -47,9 +47,13 @@ def write_flows(flows: DataFrame, path: str, fmt: str = "parquet") -> None:
     result (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is the size aimed at).
     Sorting by category lets a category filter skip row groups.
     """
-    laid_out = flows.hint("rebalance", "date").sortWithinPartitions("date", "attack_category")
+    save_laid_out(flows.hint("rebalance", "date").sortWithinPartitions("date", "attack_category"), path, fmt)
+
+
+def save_laid_out(flows: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Write rows that lie as they should, in folders by date."""
     options = _CSV_OUT if fmt == "csv" else {}
-    laid_out.write.mode("overwrite").partitionBy("date").options(**options).format(fmt).save(path)
+    flows.write.mode("overwrite").partitionBy("date").options(**options).format(fmt).save(path)
 
 
 def register_flow_view(flows: DataFrame, name: str = VIEW, capture_headers: bool = False) -> None:

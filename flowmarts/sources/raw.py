@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,24 +26,37 @@ def unique_names(headers: Sequence[str]) -> list[str]:
     return names
 
 
-def file_headers(spark: SparkSession, paths: Sequence[str], glob: str) -> list[tuple[str, tuple[str, ...]]]:
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file in any store that Spark reads, decompressed by its extension; None if it is empty."""
+    jvm = spark._jvm
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(hadoop).open(place)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(hadoop).getCodec(place)
+        plain = stream if codec is None else codec.createInputStream(stream)
+        # Buffers 8 kB at a time, and goes on reading only as long as the line does.
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def file_headers(spark: SparkSession, paths: Sequence[str], glob: str, threads: int = 32) -> list[tuple[str, tuple[str, ...]]]:
     """Path and header of every capture that has a line, in the order of the paths.
 
-    One distributed pass over the lines keeps the first of each file; the driver gets a line per file, as
-    many as it lists anyway. Merged output of an earlier run (``combined*``) is left out.
+    The files are listed, and the first bytes of each are read through Spark's own file systems; no body is
+    scanned. Merged output of an earlier run (``combined*``) is left out.
     """
-    lines = spark.read.option("pathGlobFilter", glob).text(list(paths))
-    place = F.struct(
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value"
-    )
-    first = lines.select(F.col("_metadata.file_path").alias("path"), place.alias("line"))
-    first = first.groupBy("path").agg(F.min("line").alias("line")).orderBy("path")
-    found = []
-    for row in first.select("path", "line.value").collect():
-        name = row.path.rsplit("/", 1)[-1].lower()
-        if not name.startswith("combined"):
-            found.append((unquote(row.path), tuple(next(csv.reader([row.value.lstrip("\ufeff")]), []))))
-    return found
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(list(paths)).select("path")
+    names = [r.path for r in listed.orderBy("path").collect()]
+    captures = [n for n in names if not n.rsplit("/", 1)[-1].lower().startswith("combined")]
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        lines = list(pool.map(lambda path: _first_line(spark, path), captures))
+    return [
+        (path, tuple(next(csv.reader([line.lstrip("\ufeff")]), [])))
+        for path, line in zip(captures, lines, strict=True)
+        if line is not None
+    ]
 
 
 def read_captures(

@@ -216,3 +216,110 @@ def test_filters_and_columns_reach_the_scan(spark, flows, tmp_path):
     assert "EqualTo(attack_category,Brute Force)" in text
     assert "PartitionFilters: [isnotnull(date" in text
     assert "ReadSchema: struct<destination_port:int,attack_category:string>" in text
+
+
+# -- the load from files ---------------------------------------------------------
+
+
+def written(folder, **files):
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
+
+
+SHORT = "Flow Duration,Flow Bytes/s,Flow Packets/s,Label"
+
+
+def test_load_reports_what_the_audit_counts(spark, tmp_path):
+    rng = __import__("random").Random(3)
+    files = {}
+    for day in ("Monday", "tuesday", "other"):
+        rows = [f"{rng.choice('123')},{rng.choice(['1', '1.0', 'NaN', 'x', '2', '-0.0', '0'])},{rng.choice(['1', 'inf', '3'])},{rng.choice(['BENIGN', ' BENIGN', 'Bot', 'DDoS'])}" for _ in range(400)]
+        files[day] = "\n".join([SHORT, *rows, *["7,7,7,Bot"] * 500]) + "\n"
+    folder = written(tmp_path / "in", **files)
+    report = run_ingest(spark, folder, str(tmp_path / "out"))
+    want = ingest.ingest_audit(read_raw_flows(spark, folder))
+    assert sorted(map(tuple, report.audit.collect())) == sorted(map(tuple, want.select(*report.audit.columns).collect()))
+    table = flow_table.read_flows(spark, str(tmp_path / "out"))
+    assert table.count() == sum(r.saved_rows for r in report.audit.collect())
+    counted = {r.attack_category: r["count"] for r in table.groupBy("attack_category").count().collect()}
+    assert {r.attack_category: r.flows for r in report.categories.collect()} == counted
+    plain = [ingest.clean_flows(c) for c in read_captures(spark, folder)]
+    columns = ["flow_duration", "flow_bytes_s", "flow_packets_s", "label", "attack_category", "source_ip", "source_port", "destination_port", "hour", "date"]
+    assert sorted(map(str, table.select(*columns).collect())) == sorted(str(r) for p in plain for r in p.select(*columns).collect())
+
+
+def test_unlisted_columns_have_the_type_of_their_values(spark, tmp_path):
+    head = f"{SHORT},Whole,Real,Mixed,Text,None,Big,Late"
+    one = [head, "1,1,1,Bot,1,1,1,a,,1,1", "1,1,1,Bot,1.,1.5,NA,1,,2,2", "1,1,1,Bot,,nan,2,,NaN,99999999999999999999,3"]
+    two = [head, "2,1,1,Bot,5,2,x,2.5,,3,4.5"]
+    # The same row in other spellings of its numbers; text that looks like a number differs by spelling.
+    one += ["9,9,9,Bot,1,2,z,1,,4,1", "9,9,9,Bot,1,2.0,z,1,,4.0,1.0", "9,9,9,Bot,1,2,z,1.0,,4,1"]
+    one[2] = one[2].replace("1.,", "1,")
+    folder = written(tmp_path / "in", Monday="\n".join(one) + "\n", Tuesday="\n".join(two) + "\n")
+    run_ingest(spark, folder, str(tmp_path / "out"))
+    table = flow_table.read_flows(spark, str(tmp_path / "out"))
+    types = dict(table.dtypes)
+    assert {n: types[n] for n in ("whole", "real", "mixed", "text", "none", "big", "late")} == {
+        "whole": "bigint", "real": "double", "mixed": "string", "text": "string", "none": "double", "big": "double", "late": "double",
+    }
+    assert table.where("flow_duration = 9").count() == 2 and table.count() == 6
+    assert sorted(r.late for r in table.collect()) == [1, 1, 1, 2, 3, 4.5]
+    run_ingest(spark, folder, str(tmp_path / "asked"), types={"whole": "string", "late": "double"})
+    assert dict(flow_table.read_flows(spark, str(tmp_path / "asked")).dtypes)["whole"] == "string"
+
+
+def test_whole_rows_are_shuffled_once(spark, tmp_path, monkeypatch):
+    from flowmarts.plans import capture_load
+
+    rows = [f"{i % 50},{i % 7},1,Bot" for i in range(2_000)] + ["5,5,5,BENIGN"] * 3_000
+    folder = written(tmp_path / "in", Monday="\n".join([SHORT, *rows]) + "\n", Tuesday="\n".join([SHORT, *rows]) + "\n")
+    plans, shuffled = [], []
+
+    def save(flows, path, fmt="parquet"):
+        plans.append(flows._jdf.queryExecution().executedPlan().toString())
+        flow_table.save_laid_out(flows, path, fmt)
+
+    monkeypatch.setattr(capture_load, "save_laid_out", save)
+    monkeypatch.setattr(capture_load, "HOT_KEYS", 4)
+    found = capture_load._unrepeated
+
+    def counted(keyed, hot, types):
+        out = found(keyed, hot, types)
+        shuffled.append(out.count())
+        return out
+
+    monkeypatch.setattr(capture_load, "_unrepeated", counted)
+    capture_load.load_captures(spark, folder, str(tmp_path / "out"), rows_per_file=100)
+    plan = plans[0]
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line or "ShufflePartitionId" in line]
+    assert len([x for x in exchanges if "_slot" in x]) == 1 and len([x for x in exchanges if "hashpartitioning(_slot" not in x]) == 0, exchanges
+    # The 3,000 copies, more than a quarter of all rows, meet the shuffle as one row of each file.
+    assert shuffled and sum(shuffled) == 2 * 2_001
+    table = flow_table.read_flows(spark, str(tmp_path / "out"))
+    assert table.count() == 2 * 351
+    files = [r[0] for r in table.select(F.col("_metadata.file_path")).distinct().collect()]
+    assert 4 <= len(files) <= 8
+
+
+def test_headers_come_from_the_first_bytes(spark, tmp_path):
+    import gzip
+
+    from flowmarts.sources.raw import file_headers
+
+    long = ",".join(f"Column {i}" for i in range(9_000))
+    folder = written(tmp_path / "in", a=f"{SHORT}\r\n1,1,1,Bot\r\n", b=f"\ufeff{long}\n1\n", empty="", combined_x="no\n")
+    (tmp_path / "in" / "with %41 blank.csv").write_text("Label\nBot")
+    (tmp_path / "in" / "z.csv.gz").write_bytes(gzip.compress(f"{SHORT}\n1,1,1,Bot\n".encode()))
+    found = {path.rsplit("/", 1)[-1]: header for path, header in file_headers(spark, [folder], "*.csv*")}
+    assert found == {"a.csv": tuple(SHORT.split(",")), "b.csv": tuple(long.split(",")), "with %41 blank.csv": ("Label",), "z.csv.gz": tuple(SHORT.split(","))}
+    assert len(long) > 65_536
+
+
+def test_nothing_to_load(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        run_ingest(spark, written(tmp_path / "in", empty=""), str(tmp_path / "out"))
+    folder = written(tmp_path / "bad", Monday=f"{SHORT}\n1,x,1,Bot\n")
+    report = run_ingest(spark, folder, str(tmp_path / "out"))
+    assert [tuple(r) for r in report.audit.collect()] == [("Monday.csv", 1, 1, 0, 0)] and report.categories.collect() == []
