@@ -143,3 +143,44 @@ def test_shared_folder_comes_from_the_session(spark):
         assert shared_dir(spark) == configured.rstrip("/")
     else:
         assert os.path.isdir(shared_dir(spark))
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_a_failed_rerun_leaves_the_former_report(spark, flows, tmp_path, fmt):
+    """A mart that fails in its tasks, after others of its job are written."""
+    base = str(tmp_path)
+    marts = {"total_records": flows.groupBy().count(), "attack_categories": flows.groupBy("attack_category").count()}
+    sinks.write_marts(base, "attack_distribution", marts, fmt)
+    first = sinks.current_version(spark, f"{base}/attack_distribution")
+    before = {m: _rows(spark.read.format(fmt).load(sinks.mart_path(spark, base, "attack_distribution", m))) for m in marts}
+    broken = {"total_records": flows.limit(3).groupBy().count(), "attack_categories": flows.selectExpr("raise_error('lost')")}
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_marts(base, "attack_distribution", broken, fmt)
+    assert sinks.current_version(spark, f"{base}/attack_distribution") == first
+    assert {m: _rows(spark.read.format(fmt).load(sinks.mart_path(spark, base, "attack_distribution", m))) for m in marts} == before
+    assert sorted(n for n in os.listdir(f"{base}/attack_distribution") if n.startswith("v-")) == [first]
+
+
+def test_a_failed_document_leaves_the_former_one(spark, flows, tmp_path):
+    base = str(tmp_path)
+    sinks.write_document(base, "run", {"total": flows.groupBy().count()})
+    before = sinks.read_document(spark, base, "run")
+    assert before["total"]
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_document(base, "run", {"total": flows.selectExpr("raise_error('lost')")})
+    assert sinks.read_document(spark, base, "run") == before
+
+
+def test_a_reader_keeps_its_version_and_older_ones_go(spark, flows, tmp_path):
+    base = str(tmp_path)
+    sizes = []
+    for n in (1, 2, 3, 4):
+        sinks.write_marts(base, "run", {"job_timings": spark.range(n)}, "parquet")
+        path = sinks.mart_path(spark, base, "run", "job_timings")
+        sizes.append(spark.read.parquet(path))
+    assert [df.count() for df in sizes[2:]] == [3, 4]
+    assert len([n for n in os.listdir(f"{base}/run") if n.startswith("v-")]) == 2
