@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from flowmarts.session import shared_dir
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -16,11 +17,11 @@ BLANKS = r"[\x20\x09-\x0D]+"
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to ``spark.checkpoint.dir`` and read back, so that a lost executor costs a re-read.
 
-    A temporary folder stands in only where neither the session nor its context names one, as in tests.
+    A temporary folder stands in only on a local master where neither the session nor its context names one.
     """
     spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="flowmarts-checkpoint-"))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
 
 
@@ -69,6 +70,27 @@ def join_table(df: DataFrame, table: DataFrame, on: Sequence[str], broadcast_row
     return df.join(renamed, condition, "left").drop(*[f"__{c}" for c in on])
 
 
+def one_row_of_each(docs: DataFrame, key: dict[str, Column], kept: DataFrame, rows: DataFrame, free: Column) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` (``__id, __digest``) is in ``kept``, one of each key, and the ``free`` ones.
+
+    ``rows`` has the key of every row of ``docs``, and ``free`` says of it whether all rows of that key stay. A key that
+    one row has, as nearly all have, takes a semi-join; only rows with a repeated key are grouped.
+    """
+    names = list(key)
+    sized = rows.groupBy(*names).agg(F.count("*").alias("__n"), F.max(free).alias("__free"))
+    chosen = kept.withColumn("__kept", F.lit(True))
+    fate = sized.join(chosen, same(sized, chosen, names), "left").select(*[sized[n] for n in names], "__n", "__free", "__kept")
+    fate = checkpointed(fate.where("__free or __kept").withColumn("__one", F.col("__free") | (F.col("__n") == 1)))
+    keyed = docs.withColumns(key)
+    single, several = fate.where("__one"), fate.where("not __one")
+    out = keyed.join(single, same(keyed, single, names), "left_semi").select(*docs.columns)
+    if several.isEmpty():
+        return out
+    repeated = keyed.join(several, same(keyed, several, names), "left_semi")
+    whole = F.first(F.struct(*docs.columns)).alias("__row")
+    return out.union(repeated.groupBy(*names).agg(whole).select("__row.*"))
+
+
 def ranked(df: DataFrame, by: Sequence[str], place: Column, order: Sequence[str], counts: DataFrame | int, per_bucket: int = 2_000) -> DataFrame:
     """Add ``rank`` (from 0) in the order of ``order`` inside each group ``by``, without one task per group.
 

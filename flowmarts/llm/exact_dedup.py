@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowmarts.llm.common import ascii_lower, checkpointed, let, read
+from flowmarts.llm.common import ascii_lower, checkpointed, let, one_row_of_each, read
 
 WINDOW_DOUBLINGS = 5
 MIN_CHUNK, CUT_BITS, MAX_CHUNK = 256, 10, 8192
@@ -120,9 +120,16 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns; of repeated rows of the id that stays, each stays."""
-    kept = duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["__keep"]), "left_semi")
+    """The rows of ``docs`` that stay, with their columns: one row of each group of equal texts.
+
+    That is the row with the largest ``doc_id``, null being the smallest; of repeated rows of that id and text one
+    stays. Texts that share an id are told apart by their digest. An empty table gives none.
+    """
+    judged = checkpointed(duplicates(docs, id_col, text_col))
+    keys = judged.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest"), "kept")
+    norm = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
+    key = {"__id": F.col(id_col).cast("long"), "__digest": F.sha2(norm.cast("binary"), 256)}
+    return one_row_of_each(docs, key, keys.where("kept").drop("kept").distinct(), keys, F.lit(False))
 
 
 def op9_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,9 +3,12 @@
 Documents with equal sets form a class, and only classes go on. Classes that share a band of the signature meet
 in a bucket. Classes whose shingles are mostly their own are left out there. A bucket is not expanded into
 pairs: in each round its members are compared with one leader, drawn anew by a hash, unless they are already in
-the leader's component. After these rounds most of a group is one component. What is left, pairs of one bucket
-in different components, is compared in full, so no link between components is lost. Two texts at the threshold
-of 0.75 miss each other in all bands once in a million times.
+the leader's component. After these rounds most of a group is one component. What is left are members of one
+bucket in different components. They meet once more by their rarest shingles: a set and one that is no smaller, at
+the threshold, must share a shingle among the rarest seventh of the one and the rarest quarter of the other.
+Passages that a whole group has in common are its most frequent shingles, so members that share no more do not meet
+there. All pairs found are compared in full, so no link between components is lost. Two texts at the threshold of 0.75
+miss each other in all bands once in a million times.
 """
 
 from __future__ import annotations
@@ -23,14 +26,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowmarts.llm import superminhash as smh
-from flowmarts.llm.common import BLANKS, ascii_lower, checkpointed, read
+from flowmarts.llm.common import BLANKS, ascii_lower, checkpointed, one_row_of_each, read
 
 PERCENT = 75
 LEADER_ROUNDS = 2
 LEADERS_A_ROUND = 2
 BROADCAST_IDS = 500_000
+NO_ID = (1 << 63) - 1
 
-SIGNED = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"
+SIGNED = "doc_id long, digest binary, n_shingles long, f1 long, f2 long, bands array<long>"
+BODIES = "f1 long, f2 long, n long, body array<long>"
 
 
 def plain_words(text: Column) -> Column:
@@ -58,28 +63,31 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("digest"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([p[0] for p in prints], pa.int64()),
                 pa.array([p[1] for p in prints], pa.int64()),
                 pa.ListArray.from_arrays(pa.array(starts), pa.array(np.ascontiguousarray(bands).reshape(-1))),
             ],
-            names=["doc_id", "n_shingles", "f1", "f2", "bands"],
+            names=["doc_id", "digest", "n_shingles", "f1", "f2", "bands"],
         )
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = _sets(batch.column("plain"))
-        prints = [smh.fingerprint(s)[0] for s in sets]
+        prints = [smh.fingerprint(s) for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(prints, pa.int64()),
+                pa.array([p[0] for p in prints], pa.int64()),
+                pa.array([p[1] for p in prints], pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
                 pa.ListArray.from_arrays(
                     pa.array(np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)),
                     pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)),
                 ),
             ],
-            names=["cls", "body"],
+            names=["f1", "f2", "n", "body"],
         )
 
 
@@ -115,12 +123,13 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for all ends of ``links`` (``a, b``): the least node of each connected component.
 
-    Each partition joins its links by union-find. A node that several partitions have seen links the roots they
+    Links are dealt by both ends, so that one with very many is in no single task. Each partition joins its links by
+    union-find. A node that several partitions have seen links the roots they
     gave it; these links are the next round's, fewer each time, until no node has two roots.
     """
     labels = None
     while True:
-        forest = checkpointed(links.select("a", "b").repartition("a").mapInPandas(_forest, "node long, root long"))
+        forest = checkpointed(links.select("a", "b").repartition("a", "b").mapInPandas(_forest, "node long, root long"))
         least = forest.groupBy("node").agg(F.min("root").alias("least"))
         both = forest.join(least, "node").where("root <> least")
         links = checkpointed(both.select(F.col("root").alias("a"), F.col("least").alias("b")).distinct())
@@ -186,68 +195,111 @@ def _led(members: DataFrame, turn: int) -> DataFrame:
     return few.select(F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b")).distinct()
 
 
-def _crossing(members: DataFrame) -> DataFrame:
-    """All pairs of a bucket whose members are in different components."""
-    split = members.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("greatest"))
-    rest = members.join(split.where("least <> greatest").select("bucket"), "bucket")
-    other = rest.select("bucket", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("common").alias("shared"), F.col("component").alias("led"))
-    met = rest.join(other, "bucket").where((F.col("cls") < F.col("b")) & (F.col("component") != F.col("led")) & _may_link())
-    return met.select(F.col("cls").alias("a"), "b").distinct()
+def _rarest(members: DataFrame, bodies: DataFrame) -> DataFrame:
+    """``members`` with ``first`` and ``probe``: the shared shingles among the rarest of each set that pairs must meet in.
+
+    Shingles are ordered by the number of members that have them, then by value. Let a set of ``n`` shingles be
+    linked with one of ``m >= n``. They share at least 6/7 of ``n`` (twice 0.75 / 1.75) and 0.75 of ``m``, so the rarest
+    shingle they share is among the first ``n - 6n/7 + 1`` of the one and the first ``m - 0.75m + 1`` of the other.
+    Shingles of one member alone come first and meet nothing, so they are counted and left out.
+    """
+    spread = members.select("cls").join(bodies.select("cls", F.explode("body").alias("shingle")), "cls")
+    several = spread.groupBy("shingle").agg(F.count("*").alias("k")).where("k > 1")
+    ranked = spread.join(several, "shingle").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("k", "shingle"))).alias("shared_ones"))
+    own = F.col("n") - F.size("shared_ones")
 
+    def leading(least: Column) -> Column:
+        length = F.greatest(F.col("n") - least + 1 - own, F.lit(0)).cast("int")
+        return F.slice("shared_ones", F.lit(1), length)["shingle"]
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+    first, probe = leading(F.ceil(6 * F.col("n") / 7)), leading(F.ceil(F.col("n") * PERCENT / 100))
+    return members.join(ranked, "cls").withColumns({"first": first, "probe": probe}).drop("shared_ones")
 
-    Sets are the distinct five-word shingles of the text in ASCII lower case; fewer words are one shingle; no
-    word or no text makes an empty set, linked with nothing. ``component_id`` is the least ``doc_id`` that can
-    be reached over links of similarity 0.75 or more. Rows with a null ``doc_id`` link nothing, have no
-    component and are kept. Repeated rows are in one component, each judged by its id. An empty table gives
-    an empty result; other columns play no part.
-    """
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), plain_words(F.col(text_col)).alias("plain"))
-    signed = checkpointed(plain.mapInArrow(_signed, SIGNED))
-    usable = signed.where("doc_id is not null and n_shingles > 0")
-    classes = usable.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    classes = classes.select(F.col("f1").alias("cls"), F.col("n_shingles").alias("n"), "doc_id", "bands")
+
+def _crossing(members: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Pairs that may be linked, of classes of one bucket in different components."""
+    split = members.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("greatest"))
+    rest = members.join(split.where("least <> greatest").select("bucket"), "bucket")
+    rest = checkpointed(rest.groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "common", "component")]))
+    prefixed = checkpointed(_rarest(rest, bodies))
+    small = prefixed.select("cls", "n", "common", "component", F.explode("first").alias("shingle"))
+    large = prefixed.select(F.col("cls").alias("other"), F.col("n").alias("m"), F.col("common").alias("shared"), F.col("component").alias("led"), F.explode("probe").alias("shingle"))
+    order = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("cls") < F.col("other")))
+    met = small.join(large, "shingle").where(order & (100 * F.col("n") >= PERCENT * F.col("m")) & (F.col("component") != F.col("led")) & _may_link())
+    return met.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """A row per document: ``doc_id, digest, n_shingles, root, component_id``. Null ids count as the largest."""
+    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), plain_words(F.col(text_col)).alias("plain"))
+    digested = plain.withColumn("digest", F.unhex(F.md5("plain")))
+    signed = checkpointed(digested.mapInArrow(_signed, SIGNED))
+    usable = signed.where("n_shingles > 0")
+    prints = ["f1", "f2", "n"]
+    grouped = usable.groupBy("f1", "f2", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    # Numbered once they are written, so a class has one number whoever asks.
+    classes = checkpointed(grouped).withColumn("cls", F.monotonically_increasing_id())
 
     exploded = classes.select("cls", "n", F.explode("bands").alias("bucket"))
     crowded = exploded.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
     members = checkpointed(exploded.join(crowded, "bucket").select("bucket", "cls", "n"))
 
     meeting = members.select("cls").distinct()
-    wanted = checkpointed(classes.select("cls", "doc_id").join(meeting, "cls").select("doc_id"))
+    named = classes.select("cls", "doc_id", *prints).join(meeting, "cls")
+    wanted = checkpointed(named.select("doc_id").distinct())
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    bodies = checkpointed(plain.join(wanted, "doc_id", "left_semi").select("plain").mapInArrow(_bodies, "cls long, body array<long>").dropDuplicates(["cls"]))
+    # An id may stand for several texts: a class takes the body with its own prints.
+    found = plain.join(wanted, "doc_id", "left_semi").select("plain").mapInArrow(_bodies, BODIES).dropDuplicates(prints)
+    bodies = checkpointed(found.join(named.drop("doc_id"), prints).select("cls", "body"))
 
     members = checkpointed(members.join(able_to_link(bodies), "cls"))
 
     done, labels = None, None
     for turn in range(LEADER_ROUNDS + 1):
         now = _in_components(members, labels)
-        pairs = _led(now, turn) if turn < LEADER_ROUNDS else _crossing(now)
+        pairs = _led(now, turn) if turn < LEADER_ROUNDS else _crossing(now, bodies)
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         checked = _verified(pairs, bodies)
         done = checked if done is None else done.union(checked)
         links = checked.where("linked").select("a", "b")
-        labels = components(links if labels is None else links.union(labels.where("node <> root")))
+        labels = components(links if labels is None else links.union(labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+    joined = classes.select("cls", "doc_id", *prints).join(labels.select(F.col("node").alias("cls"), "root"), "cls", "left")
+    rooted = joined.withColumn("root", F.coalesce("root", "cls"))
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    known = rooted.drop("cls", "doc_id").join(least, "root").withColumnRenamed("n", "n_shingles")
+    return signed.drop("bands").join(known, ["f1", "f2", "n_shingles"], "left").select(
+        "doc_id", "digest", "n_shingles", "root", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
 
-    roots = classes.select("cls", "doc_id").join(labels, F.col("cls") == F.col("node"))
-    least = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    grouped = checkpointed(labels.join(least, "root").select(F.col("node").alias("f1"), "component_id"))
-    own = usable.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("own_id"))
-    alone = own.join(grouped, "f1", "left").select("f1", "f2", "n_shingles", F.coalesce("component_id", "own_id").alias("component_id"))
-    out = signed.where("doc_id is not null").join(alone, ["f1", "f2", "n_shingles"], "left")
-    component = F.coalesce("component_id", "doc_id")
-    linked = out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
-    nameless = signed.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
-    return linked.union(nameless)
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+
+    Sets are the distinct five-word shingles of the text in ASCII lower case; fewer words are one shingle; no
+    word or no text makes an empty set, linked with nothing. ``component_id`` is the least ``doc_id`` that can
+    be reached over links of similarity 0.75 or more. A null ``doc_id`` is the largest: where all of a component are
+    null, so is ``component_id``, and all of it counts as kept. Repeated rows are in one component, each judged by its
+    id. An empty table gives an empty result; other columns play no part.
+    """
+    component, own = F.nullif("component_id", F.lit(NO_ID)), F.nullif("doc_id", F.lit(NO_ID))
+    return _judged(docs, id_col, text_col).select(
+        own.alias("doc_id"), "n_shingles", component.alias("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept")
+    )
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, one of each component, with their columns."""
-    kept = near_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["__keep"]), "left_semi")
+    """The documents that stay, one row of each component, with their columns.
+
+    The row with the least ``doc_id`` stays, null being the largest; of several texts under that id the one with the least
+    digest, and of equal rows one. Rows without words are linked with nothing and all stay. An empty table gives none.
+    """
+    judged = checkpointed(_judged(docs, id_col, text_col))
+    place = F.struct("doc_id", "digest")
+    kept = judged.where("root is not null").groupBy("root").agg(F.min(place).alias("k")).select("k.*")
+    key = {"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "__digest": F.unhex(F.md5(plain_words(F.col(text_col))))}
+    return one_row_of_each(docs, key, kept.toDF("__id", "__digest"), judged.toDF("__id", "__digest", *judged.columns[2:]), F.col("root").isNull())
 
 
 def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

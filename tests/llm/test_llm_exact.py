@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import compare
-from flowmarts.llm import exact_dedup, line_quality, mixing, shards
+from flowmarts.llm import exact_dedup, line_quality, mixing, near_dup, shards
 from flowmarts.llm.duckdb_sql import SQL
 from flowmarts.llm.queries import QUERIES
 
@@ -198,3 +198,112 @@ def test_empty_table(odd, operator):
     assert operator(odd.limit(0)).collect() == []
 
 
+
+
+PROBE = [(3, "same text here"), (7, "same text here"), (3, "another"), (None, "same text here"), (None, "lonely"), (7, "Same text here"), (9, None), (9, ""), (9, "another one")]
+
+
+def test_exact_dedup_leaves_one_of_each_text(spark):
+    """Null and repeated ids, an id with several texts, equal rows."""
+    rows = [(i, t, n) for n, (i, t) in enumerate(PROBE)] + [(7, "same text here", 50), (9, "another one", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept int")
+    got = exact_dedup.deduplicate(docs)
+    assert got.columns == docs.columns
+    texts = sorted((r.doc_id or 0, (r.text or "").lower()) for r in got.collect())
+    assert texts == [(0, "lonely"), (3, "another"), (7, "same text here"), (9, ""), (9, "another one")]
+    assert exact_dedup.deduplicate(docs.limit(0)).collect() == []
+
+
+def test_near_dedup_leaves_one_of_each_component(spark):
+    long = " ".join(f"w{i}" for i in range(100))
+    near = long.replace("w50", "changed")
+    rows = [*PROBE, (3, "same text here"), (None, long), (None, near), (5, near + " end"), (5, "lonely"), (None, "only null"), (None, "only null"), (2, None), (2, None)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, root string")
+    got = near_dup.deduplicate(docs)
+    assert got.columns == docs.columns
+    found = sorted((r.doc_id or 0, r.text or "") for r in got.collect())
+    # Rows without words are linked with nothing.
+    assert found == sorted([(3, "same text here"), (3, "another"), (5, "lonely"), (9, "another one"), (5, near + " end"), (0, "only null"), (2, ""), (2, ""), (9, ""), (9, "")])
+    assert near_dup.deduplicate(docs.limit(0)).collect() == []
+
+
+def jaccard_components(sets):
+    """Least id that each id reaches over links of 0.75, by comparing all pairs."""
+    least = {i: i for i in sets}
+
+    def top(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    ids = sorted(sets)
+    for k, i in enumerate(ids):
+        for j in ids[k + 1 :]:
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both) and sets[i]:
+                one, two = sorted((top(i), top(j)))
+                least[two] = one
+    return {i: top(i) for i in ids}
+
+
+def shingles(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def test_near_groups_of_half_alike_texts(spark):
+    """Texts that share a passage in all degrees, and chains of links, against all pairs."""
+    import random
+
+    random.seed(12)
+    passage = [f"p{i}" for i in range(200)]
+    texts = {}
+    for i in range(220):
+        own = random.choice([10, 20, 28, 32, 36, 45, 60, 90])
+        start = random.randrange(0, 30)
+        texts[i] = " ".join(passage[start:] + [f"o{i}x{k}" for k in range(own)])
+    for i in range(220, 280):
+        base = texts[random.randrange(i - 1)].split()
+        for _ in range(random.randrange(1, 9)):
+            base[random.randrange(len(base))] = f"c{random.randrange(999)}"
+        texts[i] = " ".join(base)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs).collect()}
+    assert got == jaccard_components({i: shingles(t) for i, t in texts.items()})
+
+
+def test_a_large_group_of_unlinked_texts_makes_few_pairs(spark, monkeypatch):
+    """5,000 texts that are 0.5 to 0.74 alike to each other: candidate pairs grow with the texts, not with their square."""
+    rows = spark.range(5_000).selectExpr(
+        "id as doc_id",
+        "concat(array_join(transform(sequence(0, 119), x -> concat('p', x)), ' '), ' ', array_join(transform(sequence(0, 24 + cast(id % 20 as int)), x -> concat('o', id, 'x', x)), ' ')) as text",
+    )
+    made, crossing = [], near_dup._crossing
+
+    def counted(members, bodies):
+        pairs = crossing(members, bodies)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_dup, "_crossing", counted)
+    got = near_dup.near_duplicates(rows).collect()
+    assert all(r.kept for r in got) and len(got) == 5_000
+    assert made[0] < 5_000
+
+
+def test_rarest_shingles_lose_no_link(spark):
+    """Every linked pair of random sets is among the pairs that meet by their rarest shingles."""
+    import random
+
+    random.seed(13)
+    sets = [set(random.sample(range(60), random.randrange(5, 45))) for _ in range(40)]
+    for i in range(40, 140):
+        base = set(random.choice(sets))
+        for _ in range(random.randrange(0, 6)):
+            base ^= {random.randrange(80)}
+        sets.append(base or {1})
+    frame = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "cls long, body array<long>")
+    members = frame.select(F.lit(1).alias("bucket"), "cls", F.size("body").cast("long").alias("n"), F.size("body").cast("long").alias("common"), F.col("cls").alias("component"))
+    got = {(r.a, r.b) for r in near_dup._crossing(members, frame).collect()}
+    linked = {(i, j) for i in range(140) for j in range(i + 1, 140) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert len(linked) > 100 and linked <= got
