@@ -29,8 +29,10 @@ from flowmarts.llm import superminhash as smh
 from flowmarts.llm.common import BLANKS, ascii_lower, checkpointed, one_row_of_each, read
 
 PERCENT = 75
-LEADER_ROUNDS = 2
-LEADERS_A_ROUND = 2
+# Rounds with leaders go on while one pair in FEW_LINKS is linked, two rounds at least; they save work and decide nothing.
+LEADER_ROUNDS = (2, 12)
+LEADERS_A_ROUND = 3
+FEW_LINKS = 50
 BROADCAST_IDS = 500_000
 NO_ID = (1 << 63) - 1
 
@@ -201,7 +203,8 @@ def _rarest(members: DataFrame, bodies: DataFrame) -> DataFrame:
     Shingles are ordered by the number of members that have them, then by value. Let a set of ``n`` shingles be
     linked with one of ``m >= n``. They share at least 6/7 of ``n`` (twice 0.75 / 1.75) and 0.75 of ``m``, so the rarest
     shingle they share is among the first ``n - 6n/7 + 1`` of the one and the first ``m - 0.75m + 1`` of the other.
-    Shingles of one member alone come first and meet nothing, so they are counted and left out.
+    Shingles of one member alone come first and meet nothing, so they are counted and left out. ``rest`` counts the
+    shared shingles from one on: past the first that two sets share, they share no more than the lesser ``rest``.
     """
     spread = members.select("cls").join(bodies.select("cls", F.explode("body").alias("shingle")), "cls")
     several = spread.groupBy("shingle").agg(F.count("*").alias("k")).where("k > 1")
@@ -210,7 +213,8 @@ def _rarest(members: DataFrame, bodies: DataFrame) -> DataFrame:
 
     def leading(least: Column) -> Column:
         length = F.greatest(F.col("n") - least + 1 - own, F.lit(0)).cast("int")
-        return F.slice("shared_ones", F.lit(1), length)["shingle"]
+        rest = F.size("shared_ones")
+        return F.transform(F.slice("shared_ones", F.lit(1), length), lambda x, i: F.struct(x.shingle.alias("shingle"), (rest - i).alias("rest")))
 
     first, probe = leading(F.ceil(6 * F.col("n") / 7)), leading(F.ceil(F.col("n") * PERCENT / 100))
     return members.join(ranked, "cls").withColumns({"first": first, "probe": probe}).drop("shared_ones")
@@ -222,10 +226,12 @@ def _crossing(members: DataFrame, bodies: DataFrame) -> DataFrame:
     rest = members.join(split.where("least <> greatest").select("bucket"), "bucket")
     rest = checkpointed(rest.groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "common", "component")]))
     prefixed = checkpointed(_rarest(rest, bodies))
-    small = prefixed.select("cls", "n", "common", "component", F.explode("first").alias("shingle"))
-    large = prefixed.select(F.col("cls").alias("other"), F.col("n").alias("m"), F.col("common").alias("shared"), F.col("component").alias("led"), F.explode("probe").alias("shingle"))
+    small = prefixed.select("cls", "n", "common", "component", F.inline("first"))
+    large = prefixed.select(F.col("cls").alias("other"), F.col("n").alias("m"), F.col("common").alias("shared"), F.col("component").alias("led"), F.inline("probe")).withColumnRenamed("rest", "left")
     order = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("cls") < F.col("other")))
-    met = small.join(large, "shingle").where(order & (100 * F.col("n") >= PERCENT * F.col("m")) & (F.col("component") != F.col("led")) & _may_link())
+    # 100 * shared >= PERCENT * union, with shared at most the lesser rest.
+    enough = (100 + PERCENT) * F.least("rest", "left") >= PERCENT * (F.col("n") + F.col("m"))
+    met = small.join(large, "shingle").where(order & enough & (100 * F.col("n") >= PERCENT * F.col("m")) & (F.col("component") != F.col("led")) & _may_link())
     return met.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
 
 
@@ -254,16 +260,23 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     members = checkpointed(members.join(able_to_link(bodies), "cls"))
 
-    done, labels = None, None
-    for turn in range(LEADER_ROUNDS + 1):
+    done, labels, turn, last = None, None, 0, False
+    while not last:
         now = _in_components(members, labels)
-        pairs = _led(now, turn) if turn < LEADER_ROUNDS else _crossing(now, bodies)
+        pairs = _led(now, turn)
+        if last := turn == LEADER_ROUNDS[1] or turn >= LEADER_ROUNDS[0] and FEW_LINKS * linked < compared:
+            pairs = _crossing(now, bodies)
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         checked = _verified(pairs, bodies)
+        compared, linked = checked.agg(F.count("*"), F.count_if("linked")).first()
         done = checked if done is None else done.union(checked)
         links = checked.where("linked").select("a", "b")
-        labels = components(links if labels is None else links.union(labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        if labels is not None:
+            links = links.union(labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
+        if linked or labels is None:
+            labels = components(links)
+        turn += 1
 
     joined = classes.select("cls", "doc_id", *prints).join(labels.select(F.col("node").alias("cls"), "root"), "cls", "left")
     rooted = joined.withColumn("root", F.coalesce("root", "cls"))
