@@ -6,13 +6,13 @@ folder of ``spark.checkpoint.dir`` and read again, so a lost executor costs the
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from flowmarts.llm import exact_dedup, line_quality, mixing, near_dup, sentence_pieces
 from flowmarts.llm.common import read
+from flowmarts.session import shared_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +48,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over the documents of ``sf_dir``."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpus-")
-    folder = f"{shared.rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
