@@ -6,6 +6,8 @@ derived frames as common table expressions.
 
 from __future__ import annotations
 
+from flowmarts.schema import MART_SCHEMAS
+
 _KEYED = """
 keyed as (
   select *, cast(json_extract_string(props, '$.k') as bigint) as k,
@@ -308,24 +310,9 @@ from raw"""
     ),
     "write_flows": _flows(f"select {COLUMNS} from flows"),
     "scan_flows_csv": _flows(f"select {COLUMNS} from flows"),
-    "write_marts": _flows(
-        """select 'top_ports' as mart, count(*) as n, cast(sum(total_flows) as bigint) as flows from (
-  select destination_port, count(*) as total_flows from flows group by destination_port
-  order by total_flows desc, destination_port limit 15)
-union all
-select 'hourly_traffic', count(*), cast(sum(n) as bigint) from (
-  select hour, attack_category, count(*) as n from flows group by all)
-union all
-select 'dos_ddos', 1, count(*) from flows where attack_category in ('DoS', 'DDoS')"""
-    ),
     "read_marts": _flows(
         "select *, cast(null as bigint) as count from (" + _TOP_HIGH.format(k=50) + ")", _IP_PROFILE
     ),
-    "mart_document": _flows(
-        f"""select cast(row_number() over (order by total_flows desc, destination_port) as integer) as place,
-  destination_port, total_flows, (select count(*) from flows) as all_flows
-from ({_PORTS}) order by total_flows desc, destination_port limit 15"""
-    ),
     "view_with_headers": _flows(
         """select destination_port, max(flow_bytes_s) as max_bytes,
   cast(sum(syn_flag_count) as bigint) as syn_flags
@@ -539,9 +526,6 @@ from flows group by all"""
 cross join (values (0.5::double), (0.9::double), (0.99::double)) p(share)"""
     ),
     "flow_percentiles_exact": _flows(_PERCENTILES),
-    # Every job runs and writes each of its marts.
-    "job_timings": """select * from (values ('attack_distribution', 'ok', 4), ('suspicious_ip', 'ok', 3),
-  ('failed_logins', 'ok', 6), ('traffic_analysis', 'ok', 5), ('advanced_analytics', 'ok', 7), ('total', 'ok', 0)) t(job, status, marts)""",
     "ingest_raw_csv": _raw(
         f"""select * exclude (source_file) from (select distinct source_file, flow_id, destination_port, flow_duration,
   flow_bytes_s, flow_packets_s, syn_flag_count, label, attack_category, {_FILE_DATE} as date,
@@ -580,3 +564,66 @@ from (select *, split_part(task, '_', 2) as event from sides)""",
 select round(sum(baseline_s), 3) as baseline_total_s, round(sum(candidate_s), 3) as candidate_total_s,
   round(sum(baseline_s) / sum(candidate_s), 2) as overall_speedup from sides""",
 }
+
+
+# The query whose rows each mart of a job holds.
+_REPORTS = {
+    "attack_distribution": {
+        "total_records": "total_flows",
+        "attack_categories": "attack_distribution",
+        "label_distribution": "label_distribution",
+        "attack_hour_matrix": "attack_hour_pivot",
+    },
+    "suspicious_ip": {
+        "threat_summary": "threat_summary",
+        "top_suspicious_ips": "top_suspicious_ips",
+        "threat_kpis": "threat_kpis",
+    },
+    "failed_logins": {
+        "total_brute_force": "brute_total",
+        "top_targeted_ports": "brute_ports_top",
+        "top_attacking_ips": "brute_ips_top",
+        "hourly_pattern": "brute_hourly",
+        "high_syn": "high_syn",
+        "top_targeted_port": "top_targeted_port",
+    },
+    "traffic_analysis": {
+        "protocol_distribution": "protocol_names",
+        "top_ports": "top_ports",
+        "dos_ddos": "dos_ddos_counts",
+        "flow_bytes_by_attack": "flow_profile",
+        "hourly_traffic": "hourly_traffic",
+    },
+    "advanced_analytics": {
+        "sql_attack_profile": "sql_attack_profile",
+        "top_ips_per_attack": "top_ips_per_attack",
+        "hourly_attack_delta": "hourly_attack_delta",
+        "attack_running_total": "attack_running_total",
+        "ip_port_correlation": "ip_port_correlation",
+        "severity_distribution": "severity_distribution",
+        "flow_percentiles": "flow_percentiles_exact",
+    },
+}
+
+
+def _cells(job: str, mart: str) -> str:
+    """A mart as one row per measure: text and int columns are the key, bigint and double measures."""
+    columns = [c.strip().split(" ", 1) for c in MART_SCHEMAS[job][mart].split(",")]
+    keys = [f"coalesce(cast({c} as varchar), '')" for c, t in columns if t in ("string", "int", "array<string>")]
+    measures = [(c, f"cast({c} as double)") for c, t in columns if t in ("bigint", "double")] + [("row", "1.0::double")]
+    names = ", ".join(f"'{c}'" for c, _ in measures)
+    values = ", ".join(v for _, v in measures)
+    return f"""select '{job}' as job, '{mart}' as mart, concat_ws('|', {", ".join(["''", *keys])}) as key,
+  unnest([{names}]) as measure, unnest([{values}]) as value from ({SQL[_REPORTS[job][mart]]}) m"""
+
+
+_TRAFFIC_CELLS = "\nunion all\n".join(_cells("traffic_analysis", mart) for mart in _REPORTS["traffic_analysis"])
+SQL["write_marts"] = f"select mart, key, measure, value from ({_TRAFFIC_CELLS}) c"
+SQL["mart_document"] = f"""select mart, key, measure, value from ({_TRAFFIC_CELLS}) c
+union all
+select 'top_ports', '|' || destination_port, 'place', cast(row_number() over (order by total_flows desc, destination_port) as double)
+from ({SQL["top_ports"]}) p"""
+_ALL_CELLS = "\nunion all\n".join(_cells(job, mart) for job, marts in _REPORTS.items() for mart in marts)
+SQL["job_timings"] = f"""select job, 'ok' as status, mart, key, measure, value from ({_ALL_CELLS}) c
+union all
+select 'total', 'ok', null, null, null, null"""

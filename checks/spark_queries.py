@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowmarts.functions import numbers
@@ -169,26 +169,38 @@ def _stored_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- marts on disk ----------------------------------------------------------------
 
 
-def _written_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The traffic job's marts as JSON, read back with their schema and counted."""
-    out = _fresh(spark, "marts")
+def _cells(frame: DataFrame, job: str, mart: str) -> DataFrame:
+    """A mart as one row per measure of each of its rows: text and int columns are the key, bigint and double measures.
+
+    Each row also has the measure ``row``, so that marts without measures count.
+    """
+    plain = _texted(frame) if "attack_types" in frame.columns else frame
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c, t in plain.dtypes if t in ("string", "int")]
+    measures = [(c, F.col(c).cast("double")) for c, t in plain.dtypes if t in ("bigint", "double")] + [("row", F.lit(1.0))]
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("measure"), v.alias("value")) for c, v in measures))).alias("pair")
+    cells = plain.select(F.concat_ws("|", F.lit(""), *keys).alias("key"), pairs)
+    return cells.select(F.lit(job).alias("job"), F.lit(mart).alias("mart"), "key", "pair.measure", "pair.value")
+
+
+def _traffic_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The marts of the traffic job, from the flows instead of rollups."""
     flows = source.flows(spark, sf_dir)
-    marts = {
+    return {
+        "protocol_distribution": traffic.protocol_names(flows),
         "top_ports": traffic.top_ports(flows),
-        "hourly_traffic": traffic.hourly_traffic(flows),
         "dos_ddos": traffic.dos_ddos_counts(flows),
+        "flow_bytes_by_attack": traffic.flow_profile(flows),
+        "hourly_traffic": traffic.hourly_traffic(flows),
     }
+
+
+def _written_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The traffic job's marts as JSON, all of them read back with their schema, row by row."""
+    out = _fresh(spark, "marts")
+    marts = _traffic_marts(spark, sf_dir)
     sinks.write_marts(out, "traffic_analysis", marts)
-    read = {m: sinks.read_mart(spark, out, "traffic_analysis", m) for m in marts}
-    sums = [
-        read["top_ports"].agg(F.count("*").alias("n"), F.sum("total_flows").alias("flows")),
-        read["hourly_traffic"].agg(F.count("*").alias("n"), F.sum("flows").alias("flows")),
-        read["dos_ddos"].agg(
-            F.count("*").alias("n"), F.sum(F.col("dos_flows") + F.col("ddos_flows")).alias("flows")
-        ),
-    ]
-    named = [s.withColumn("mart", F.lit(m)) for m, s in zip(marts, sums)]
-    return union_captures(*named).select("mart", "n", "flows")
+    read = [_cells(sinks.read_mart(spark, out, "traffic_analysis", m), "traffic_analysis", m) for m in marts]
+    return union_captures(*read).drop("job")
 
 
 def _read_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,30 +217,29 @@ def _read_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report through its JSON document, rows in the order of the report."""
+    """The traffic job's report through its JSON document: all marts, row by row, with the place in ranked ones."""
     out = _fresh(spark, "marts")
-    flows = source.flows(spark, sf_dir)
-    marts = {"top_ports": traffic.top_ports(flows), "total": distribution.total_flows(flows)}
+    marts = _traffic_marts(spark, sf_dir)
     sinks.write_document(out, "traffic_analysis", marts)
-    stored = sinks.read_document(spark, out, "traffic_analysis")
-    total = stored["total"][0]["total_flows"]
-    ports = enumerate(stored["top_ports"], 1)
-    rows = [(place, r["destination_port"], r["total_flows"], total) for place, r in ports]
-    return spark.createDataFrame(
-        rows, "place int, destination_port int, total_flows bigint, all_flows bigint"
-    )
+    read = []
+    for mart in marts:
+        stored = sinks.document_mart(spark, out, "traffic_analysis", mart)
+        ranked = mart == "top_ports"
+        # The report's 15 ports at most are one window.
+        place = F.row_number().over(Window.orderBy("place")) if ranked else F.lit(None)
+        read.append(_cells(stored.withColumn("place", place.cast("bigint")), "traffic_analysis", mart))
+    cells = union_captures(*read).drop("job")
+    return cells.where("measure <> 'place' or value is not null")
 
 
 def _job_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Jobs, whether they ran, and how many marts of each have been written."""
+    """Every mart of all jobs, written by the runner and read back row by row, with the status of its job."""
     out = _fresh(spark, "marts")
     ran = jobs.run_marts(spark, source.flows(spark, sf_dir), out).select("job", "status")
-    held = [
-        (job, sum(bool(sinks.read_mart(spark, out, job, mart).inputFiles()) for mart in MART_SCHEMAS[job]))
-        for job in jobs.JOBS
+    read = [
+        _cells(sinks.read_mart(spark, out, job, mart), job, mart) for job in jobs.JOBS for mart in MART_SCHEMAS[job]
     ]
-    counts = spark.createDataFrame(held, "job string, marts int")
-    return ran.join(counts, "job", "left").select("job", "status", F.coalesce("marts", F.lit(0)).alias("marts"))
+    return ran.join(union_captures(*read), "job", "left")
 
 
 def _captures(spark: SparkSession, sf_dir: str) -> str:

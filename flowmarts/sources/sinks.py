@@ -144,6 +144,13 @@ def read_document(spark: SparkSession, base: str, job: str) -> dict[str, list[di
     return document
 
 
+def document_mart(spark: SparkSession, base: str, job: str, mart: str) -> DataFrame:
+    """A mart out of a job's document, of any size: its declared columns and its ``place`` in the report."""
+    stored = spark.read.schema("mart string, place bigint, row string").json(document_path(spark, base, job))
+    row = F.from_json("row", MART_SCHEMAS[job][mart])
+    return stored.where(F.col("mart") == mart).select(row.alias("row"), "place").select("row.*", "place")
+
+
 def read_mart(spark: SparkSession, base: str, job: str, mart: str, fmt: str = "json") -> DataFrame:
     """A mart with its declared schema; empty if the job has not run yet."""
     schema = MART_SCHEMAS[job][mart]
