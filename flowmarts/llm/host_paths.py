@@ -1,10 +1,11 @@
 """HTML extraction by consensus host paths.
 
-A path is the chain of tags and generalised classes from the body to a container. Every page scores its
-containers by the text that stands directly in their blocks, less what is link text. The scores are added up
-over the pages of a host, one winning path per host, and the pages are extracted again below the nodes on that
-path. So one odd page doesn't decide, and a page whose own best container is a long comment thread follows its
-host. Pages that lack the host's path use their own best one.
+A path is the chain of tags and generalised classes from the body to a container, known by a digest that is made from
+its parent's. Every page scores its containers by the text of their blocks, less what is link text, and votes for the
+path of its best one: its articles, else its main part, else the lowest path that holds nearly all scored text. The votes
+are added up over the pages of a host, one winning path per host, and the pages are extracted again below the nodes on
+that path. So one odd page doesn't decide, and a page whose own best container is a long comment thread follows its host
+where that has articles. Pages that lack the host's path, or hold little on it, use their own best one.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterator
+from functools import lru_cache
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -32,6 +35,7 @@ BLOCK = frozenset(
 CONTAINERS = frozenset("article body blockquote center div main section table tbody td tr".split())
 PROSE = frozenset("blockquote dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
 DROPPED = frozenset("nav aside footer form button menu dialog head".split()) | RAW
+RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 CLOSES_P = BLOCK - frozenset("body html".split())
 NOT_CONTENT = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|"
@@ -39,24 +43,101 @@ NOT_CONTENT = re.compile(
     r"share|sharing|social|related|recommended|popup|modal|widget|pagination|pager|toolbar|skip-link|hidden|legal|copyright)(?:$|[\s_-])",
     re.I,
 )
+# Names of what is no article inside an article or main part, and words that go with them in one class name.
+FOREIGN = re.compile(
+    r"ads?|advert\w*|sponsor\w*|promo\w*|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|comments?|replies|reply|disqus|respond|"
+    r"cookies?|consent|gdpr|notices?|alert|newsletter|subscribe|signup|share|sharing|social|popup|modal|widget|pagination|pager|toolbar|hidden",
+    re.I,
+)
+BESIDE = re.compile(
+    r"article|post|entry|page|site|user|reader|main|content|section|area|box|block|body|bar|banner|buttons?|container|form|group|icons?|inline|"
+    r"inner|outer|items?|legal|links?|list|mobile|row|slot|sticky|text|thread|top|bottom|left|right|unit|wrap|wrapper|[0-9a-f]*[0-9][0-9a-f]*|",
+    re.I,
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^<>]*+>|<(/?)([A-Za-z][^\s/<>]*+)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACE = re.compile(r"\s+")
-SEPARATOR = ">"
+LISTS = ("ul", "ol", "dl", "table", "menu")
+FELLOWS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}
+SEMANTIC = ("article", "main")
+LEAST_SEMANTIC = 0.25
+NEARLY_ALL = 0.9
+LITTLE = 0.2
+
+
+class Paths:
+    """The paths of a page by number; a parent's number is less than its children's."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[tuple[int, str], int] = {}
+        self.parents: list[int] = []
+        self.depths: list[int] = []
+        self.digests: list[bytes] = []
+
+    def number(self, parent: int, name: str) -> int:
+        found = self.numbers.get((parent, name))
+        if found is None:
+            found = self.numbers[parent, name] = len(self.parents)
+            self.parents.append(parent)
+            above = self.digests[parent] if parent >= 0 else b""
+            self.depths.append(self.depths[parent] + 1 if parent >= 0 else 0)
+            self.digests.append(blake2b(above + name.encode("utf-8", "replace"), digest_size=16).digest())
+        return found
+
+    def below(self, digest: bytes) -> list[bool]:
+        """For each path whether it is the one with this digest or lies below it."""
+        out: list[bool] = []
+        for own, parent in zip(self.digests, self.parents, strict=True):
+            out.append(own == digest or parent >= 0 and out[parent])
+        return out
 
 
 class Node:
-    __slots__ = ("classes", "dropped", "parent", "path", "tag")
+    """An open element. ``article``, ``main`` and ``nearest`` are the paths of containers around it, -1 for none."""
 
-    def __init__(self, tag: str, classes: str, dropped: bool, parent: Node | None) -> None:
-        self.tag, self.classes, self.dropped, self.parent = tag, classes, dropped, parent
-        self.path = f"{parent.path}{SEPARATOR}{self.name}" if parent else self.name
+    __slots__ = ("article", "dropped", "main", "nearest", "path", "tag")
+
+    def __init__(self, tag: str, dropped: bool, path: int, parent: Node | None) -> None:
+        self.tag, self.dropped, self.path = tag, dropped, path
+        self.article = parent.article if parent else -1
+        self.main = parent.main if parent else -1
+        self.nearest = path if parent is None or tag in CONTAINERS else parent.nearest
+        if tag == "article" and self.article < 0:
+            self.article = path
+        if tag == "main" and self.main < 0:
+            self.main = path
 
     @property
-    def name(self) -> str:
-        return self.tag + self.classes
+    def container(self) -> int:
+        """What its text counts for: the outermost article, else the outermost main, else the nearest container."""
+        return self.article if self.article >= 0 else self.main if self.main >= 0 else self.nearest
+
+
+class Open:
+    """The open elements, with the places of each tag and of blocks, so that no look walks through ancestors."""
+
+    def __init__(self, top: Node) -> None:
+        self.nodes = [top]
+        self.places: dict[str, list[int]] = {top.tag: [0]}
+        self.blocks = [0]
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, place: int) -> None:
+        """Close the element at ``place`` and all inside it."""
+        while len(self.nodes) > place:
+            self.places[self.nodes.pop().tag].pop()
+            if self.blocks[-1] == len(self.nodes):
+                self.blocks.pop()
+
+    def last(self, *tags: str) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
 
 
 def generalised(value: str) -> str:
@@ -69,8 +150,18 @@ def attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(text)}
 
 
+def foreign(name: str) -> bool:
+    """Whether a class or id inside an article names something else: each of its parts is such a name or goes with one."""
+    parts = re.split("[-_]+", name)
+    return any(FOREIGN.fullmatch(p) for p in parts) and all(FOREIGN.fullmatch(p) or BESIDE.fullmatch(p) for p in parts)
+
+
 def furniture(tag: str, given: dict[str, str], inside_article: bool) -> bool:
-    """Whether an element is no part of the article; a header inside the article may hold its headline."""
+    """Whether an element is no part of the article.
+
+    Inside an article or main part a header may hold its headline, and only names that say nothing but comments, adverts,
+    notices, sharing and the like count: ``share-buttons`` does, ``share-price`` doesn't.
+    """
     if tag in DROPPED or tag == "header" and not inside_article:
         return True
     if tag in ("html", "body", "article", "main"):
@@ -78,16 +169,29 @@ def furniture(tag: str, given: dict[str, str], inside_article: bool) -> bool:
     if "hidden" in given or given.get("aria-hidden") == "true" or given.get("role", "").lower() in ROLES:
         return True
     named = f"{given.get('class', '')} {given.get('id', '')}".strip()
+    if inside_article:
+        return any(foreign(n) for n in named.split())
     return bool(named) and bool(NOT_CONTENT.search(named))
 
 
-def blocks(html: str) -> Iterator[tuple[Node, str, int]]:
+@lru_cache(maxsize=4096)
+def judged(tag: str, given: str, inside_article: bool) -> tuple[str, bool]:
+    """Name of an element in its path, and whether it is no part of the article."""
+    values = attributes(given) if given.strip(" /\n\t\r") else {}
+    if tag not in BLOCK:
+        return tag, furniture(tag, values, inside_article) if values else tag in DROPPED
+    return tag + generalised(values.get("class", "")), furniture(tag, values, inside_article)
+
+
+def blocks(html: str, paths: Paths) -> Iterator[tuple[Node, str, int]]:
     """Blocks of a page in its order: the node they stand in, their text and how many characters of it are links.
 
     Unclosed and wrongly nested tags are put up with: a block closes an open paragraph, an end tag closes what is
-    open inside, and one without a start is left out. What is dropped gives no blocks.
+    open inside, and one without a start is left out. What is dropped gives no blocks. The time grows with the
+    page, however deep its elements are nested.
     """
-    top = node = Node("body", "", False, None)
+    top = Node("body", False, paths.number(-1, "body"), None)
+    open_ = Open(top)
     at, size = 0, len(html)
     parts: list[str] = []
     linked, in_link, owner = 0, 0, top
@@ -102,9 +206,9 @@ def blocks(html: str) -> Iterator[tuple[Node, str, int]]:
 
     def add(text: str) -> None:
         nonlocal linked, owner
-        if not node.dropped and text:
+        if text and not open_.nodes[-1].dropped:
             if not parts:
-                owner = holder(node)
+                owner = open_.nodes[open_.blocks[-1]]
             parts.append(text)
             if in_link:
                 linked += len(text)
@@ -124,47 +228,45 @@ def blocks(html: str) -> Iterator[tuple[Node, str, int]]:
         if found[2]:
             if tag == "a":
                 in_link = 0
-            if tag == "br" or tag == "p" and not opened(node, "p"):
+            place = open_.last(tag)
+            if tag == "br" or tag == "p" and place < 0:
                 add(" ")
-            open_ = opened(node, tag)
-            if open_ is None or open_ is top:
+            if place <= 0:
                 continue
-            if any(n.tag in BLOCK for n in between(node, open_)):
+            if open_.blocks[-1] >= place:
                 if tag not in BLOCK:
                     continue
                 yield from flush()
-            node = open_.parent
+            open_.cut(place)
             continue
         if tag in ("html", "body"):
-            if tag == "body" and node is top:
-                given = attributes(found[4])
-                top.classes = generalised(given.get("class", ""))
-                top.path = top.name
+            if tag == "body" and len(open_.nodes) == 1:
+                top = Node("body", False, paths.number(-1, "body" + generalised(attributes(found[4]).get("class", ""))), None)
+                open_.nodes[0] = top
             continue
         if tag == "br":
             add(" ")
             continue
         if tag in RAW:
             if not found[4].rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
+                end = RAW_END[tag].search(html, at)
                 at = end.end() if end else size
             add(" ")
             continue
         if tag in BLOCK:
-            yield from flush()
-            node = implied(node, tag)
+            if parts:
+                yield from flush()
+            make_room(open_, tag)
         if tag in VOID:
             continue
-        given = attributes(found[4]) if found[4].strip(" /\n\t\r") else {}
         if tag == "a":
             in_link = 1
-        if tag in BLOCK or given:
-            dropped = node.dropped or furniture(tag, given, bool(opened(node, "article") or opened(node, "main")))
-            if dropped and not node.dropped:
-                yield from flush()
-        else:
-            dropped = node.dropped or tag in DROPPED
-        node = Node(tag, generalised(given.get("class", "")) if tag in BLOCK else "", dropped, node)
+        node = open_.nodes[-1]
+        judge = judged if len(found[4]) <= 200 else judged.__wrapped__
+        name, dropped = judge(tag, found[4], node.article >= 0 or node.main >= 0)
+        if dropped and not node.dropped:
+            yield from flush()
+        open_.push(Node(tag, dropped or node.dropped, paths.number(node.path, name), node))
     yield from flush()
 
 
@@ -174,110 +276,93 @@ def cut_tail(text: str) -> str:
     return text[:at] if at >= 0 and re.match(r"<[/!A-Za-z]", text[at:]) else text
 
 
-def opened(node: Node | None, tag: str) -> Node | None:
-    while node is not None and node.tag != tag:
-        node = node.parent
-    return node
-
-
-def between(node: Node, upper: Node) -> Iterator[Node]:
-    while True:
-        yield node
-        if node is upper:
-            return
-        node = node.parent
-
-
-def implied(node: Node, tag: str) -> Node:
-    """The node that ``tag`` is put in: a block ends a paragraph, an item or a cell ends its fellow."""
-    if tag in CLOSES_P and (p := opened(node, "p")):
-        node = p.parent
-    fellows = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}.get(tag, ())
-    at = node
-    while fellows and at is not None and at.tag not in ("ul", "ol", "dl", "table", "menu"):
-        if at.tag in fellows:
-            return at.parent
-        at = at.parent
-    return node
-
-
-def holder(node: Node) -> Node:
-    """The block a text stands in."""
-    while node.tag not in BLOCK and node.parent is not None:
-        node = node.parent
-    return node
-
-
-def container(node: Node) -> Node:
-    """The container a block counts for: the outermost article around it, else main, else the nearest of all."""
-    found: dict[str, Node] = {}
-    nearest = None
-    at: Node | None = node
-    while at is not None:
-        if at.tag in CONTAINERS:
-            nearest = nearest or at
-            found[at.tag] = at
-        at = at.parent
-    return found.get("article") or found.get("main") or nearest or node
-
-
-def scores(html: str) -> dict[str, float]:
-    """Score of each container path: the characters of its blocks that are no links, prose counting in full."""
-    out: dict[str, float] = {}
-    for node, text, linked in blocks(html):
-        gain = max(len(text) - 2 * linked, 0) * (1.0 if node.tag in PROSE else 0.5)
-        path = container(node).path
-        out[path] = out.get(path, 0.0) + gain
-    return merged_upwards(out)
-
-
-def merged_upwards(own: dict[str, float]) -> dict[str, float]:
-    """A container also counts 0.6 of what those below it score, so that it wins where none of them holds the
-    greater part: a text split in sections is one article."""
-    out = dict(own)
-    for path in sorted({p for q in own for p in prefixes(q)}, key=lambda p: -p.count(SEPARATOR)):
-        below = [v for q, v in out.items() if q.startswith(path + SEPARATOR) and q.count(SEPARATOR) == path.count(SEPARATOR) + 1]
-        if below:
-            out[path] = own.get(path, 0.0) + 0.6 * sum(below)
-    return out
-
-
-def prefixes(path: str) -> Iterator[str]:
-    at = path.rfind(SEPARATOR)
-    while at > 0:
-        path = path[:at]
-        yield path
-        at = path.rfind(SEPARATOR)
-
-
-def extracted(html: str, path: str | None) -> str:
-    """Main text of a page below the nodes on ``path``, or below its own best container where there are none."""
-    found = list(blocks(html))
-    inside = [text for node, text, _ in found if path and (node.path == path or node.path.startswith(path + SEPARATOR))]
-    if not inside and found:
-        own = scores(html)
-        best = max(sorted(own), key=own.__getitem__)
-        inside = [text for node, text, _ in found if node.path == best or node.path.startswith(best + SEPARATOR)]
-    return "\n\n".join(inside)
+def make_room(open_: Open, tag: str) -> None:
+    """Close what ``tag`` ends: a block ends a paragraph, an item or a cell ends its fellow in the same list or table."""
+    if tag in CLOSES_P and (p := open_.last("p")) > 0:
+        open_.cut(p)
+    fellow = open_.last(*FELLOWS.get(tag, ()))
+    if fellow > open_.last(*LISTS):
+        open_.cut(fellow)
+
+
+class Page:
+    """A parsed page: its paths, its blocks and the score of each container path.
+
+    A block scores its characters that are no links, in full where it is prose and half elsewhere.
+    """
+
+    def __init__(self, html: str) -> None:
+        self.paths = Paths()
+        self.blocks: list[tuple[int, str]] = []
+        self.own: dict[int, float] = {}
+        self.semantic: set[int] = set()
+        for node, text, linked in blocks(html, self.paths):
+            self.blocks.append((node.path, text))
+            at = node.container
+            if node.article >= 0 or node.main >= 0:
+                self.semantic.add(at)
+            gain = max(len(text) - 2 * linked, 0) * (1.0 if node.tag in PROSE else 0.5)
+            self.own[at] = self.own.get(at, 0.0) + gain
+        self.whole = sum(self.own.values())
+
+    def best(self) -> bytes | None:
+        """The path of the page's best container, None for a page without scored text.
+
+        Articles or main parts with a quarter of the score come first, else the lowest path that holds nine tenths of it.
+        """
+        if self.whole <= 0:
+            return None
+        chosen = max(sorted(self.semantic), key=lambda p: self.own[p], default=None)
+        if chosen is not None and self.own[chosen] >= LEAST_SEMANTIC * self.whole:
+            return self.paths.digests[chosen]
+        held = [0.0] * len(self.paths.parents)
+        for path, value in self.own.items():
+            held[path] = value
+        lowest, parents, depths = 0, self.paths.parents, self.paths.depths
+        for path in range(len(held) - 1, -1, -1):
+            if parents[path] >= 0:
+                held[parents[path]] += held[path]
+        for path, value in enumerate(held):
+            if value >= NEARLY_ALL * self.whole and depths[path] >= depths[lowest]:
+                lowest = path
+        # Body tags with and without classes are roots of their own: a page that holds text in both is one.
+        return self.paths.digests[lowest] if held[lowest] >= NEARLY_ALL * self.whole else b""
+
+    def text(self, digest: bytes | None) -> str:
+        """The blocks below a path; the empty digest stands for the whole page."""
+        if digest == b"":
+            return "\n\n".join(text for _, text in self.blocks)
+        below = self.paths.below(digest)
+        return "\n\n".join(text for path, text in self.blocks if below[path])
+
+    def follows(self, digest: bytes) -> bool:
+        """Whether the page has an article or main part on a path, or else holds more than a little there."""
+        below = self.paths.below(digest)
+        if any(below[p] for p in self.semantic):
+            return True
+        held = sum(value for p, value in self.own.items() if below[p])
+        return held > LITTLE * self.whole if self.whole > 0 else any(below[p] for p, _ in self.blocks)
+
+
+def extracted(html: str, digest: bytes | None) -> str:
+    """Main text of a page below the nodes on its host's path, or below its own best container."""
+    page = Page(html)
+    if digest is not None and page.follows(digest):
+        return page.text(digest)
+    own = page.best()
+    return page.text(b"" if own is None else own)
 
 
 def _voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, paths, votes = [], [], []
-        totals: dict[tuple[str | None, str], float] = {}
+        totals: dict[tuple[str | None, bytes], int] = {}
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            own = scores(html)
-            whole = max(own.values(), default=0.0)
-            for path, value in own.items():
-                if whole > 0:
-                    key = (host, path)
-                    totals[key] = totals.get(key, 0.0) + value / whole
-        for (host, path), value in totals.items():
-            hosts.append(host)
-            paths.append(path)
-            # Whole millionths add up to the same sum in any order.
-            votes.append(round(value * 1_000_000))
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(votes, pa.int64())], names=["host", "path", "votes"])
+            best = Page(html).best()
+            if best:
+                totals[host, best] = totals.get((host, best), 0) + 1
+        keys = list(totals)
+        columns = [pa.array([h for h, _ in keys], pa.string()), pa.array([p for _, p in keys], pa.binary()), pa.array(list(totals.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["host", "path", "votes"])
 
 
 def _extracted(keep: list[str]):
@@ -295,10 +380,10 @@ def host_of(url: Column) -> Column:
 
 
 def consensus(pages: DataFrame) -> DataFrame:
-    """``host, path``: the path with the most votes of each host; of equals the shortest, then the first."""
+    """``host, path``: the path with the most votes of each host, by its digest; of equals the one with the least digest."""
     rows = pages.select(host_of(F.col("url")).alias("host"), F.coalesce(F.col("html"), F.lit("")).alias("html"))
-    votes = rows.mapInArrow(_voted, "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    best = F.min(F.struct((-F.col("votes")).alias("v"), F.length("path").alias("n"), "path"))
+    votes = rows.mapInArrow(_voted, "host string, path binary, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+    best = F.min(F.struct((-F.col("votes")).alias("v"), "path"))
     return checkpointed(votes.groupBy("host").agg(best.alias("best")).select("host", F.col("best.path").alias("__path")))
 
 
@@ -306,7 +391,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """``pages`` without the html, with ``text`` and ``n_chars``, its code points.
 
     White space inside a block is one space, blocks are joined in page order by two line feeds. A null or empty
-    page, and one without content, gives an empty text. A null url belongs to a host of its own. Columns called
+    page, and one without content, gives an empty text. Long pages and any depth of nesting take time in proportion to
+    their length. A null url belongs to a host of its own. Columns called
     like the added ones are replaced; repeated rows are extracted alike; an empty table gives an empty result.
     """
     keep = [c for c in pages.columns if c not in ("html", "text", "n_chars")]

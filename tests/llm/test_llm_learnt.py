@@ -163,6 +163,73 @@ def test_the_host_decides(spark):
     assert host_paths.extract(pages.limit(0)).collect() == []
 
 
+def test_names_inside_an_article():
+    """What belongs to the text stays whatever its class resembles; notices, adverts, forms, sharing and comments go."""
+    html = (
+        '<body><div class="legal">Imprint</div><article><header class="entry-header"><h1>Head</h1></header><section id="related-work"><p>Earlier work.</p></section>'
+        '<div class="share-price">12 pence</div><p class="legal">A ruling.</p><div class="share-buttons">Tweet</div><div class="cookie-notice">Cookies</div>'
+        '<div class="ad-slot-3">Buy</div><div id="comments"><p>First!</p></div><p>End.</p></article>'
+    )
+    assert host_paths.extracted(html, None) == "Head\n\nEarlier work.\n\n12 pence\n\nA ruling.\n\nEnd."
+    assert host_paths.extracted(html.replace("article>", "main>"), None) == host_paths.extracted(html, None)
+
+
+def test_pages_without_articles_follow_their_host(spark):
+    """Lead and body are both kept, a page whose own reading differs follows the vote, another template doesn't."""
+    body = "<p>" + "some prose of the story " * 30 + "</p>"
+    page = '<body class="b"><div class=top>Site</div><div class="wrap"><div class="intro"><p>' + "the lead of it " * 20 + '</p></div><div class="content">{}</div></div>{}'
+    rows = [(i, f"https://h.example/{i}", page.format(body, "")) for i in range(5)]
+    rows.append((5, "https://h.example/5", page.format(body, "<div class=tail><p>" + "chatter " * 60 + "</p></div>")))
+    rows.append((6, "https://h.example/6", '<body class="b"><div class="wrap"><p>Teaser.</p></div><div class="story">' + body + "</div>"))
+    got = {r.page_id: r.text for r in host_paths.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    story = ("some prose of the story " * 30).strip()
+    assert {got[i] for i in range(6)} == {("the lead of it " * 20).strip() + "\n\n" + story}
+    assert got[6] == story
+    assert "chatter" in host_paths.extracted(rows[5][2], None)
+
+
+def plain_consensus(rows):
+    """The vote and the extraction by lists of path texts, every page compared with every path."""
+    pages = {i: (re.match("https?://([^/]*)", u)[1], host_paths.Page(h)) for i, u, h in rows}
+    votes = {}
+    for host, page in pages.values():
+        if page.best():
+            votes.setdefault(host, []).append(page.best())
+    out = {}
+    for i, (host, page) in pages.items():
+        held = votes.get(host, [])
+        best = min(set(held), key=lambda p: (-held.count(p), p), default=None)
+        use = best if best is not None and page.follows(best) else page.best() or b""
+        chains = []
+        for p, _ in page.blocks:
+            chain = []
+            while p >= 0:
+                chain.append(page.paths.digests[p])
+                p = page.paths.parents[p]
+            chains.append(chain)
+        out[i] = "\n\n".join(t for (_, t), c in zip(page.blocks, chains, strict=True) if use == b"" or use in c)
+    return out
+
+
+def test_the_vote_against_brute_force(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    # Pages of a second kind: the same text in plain divisions.
+    other = F.regexp_replace(F.regexp_replace("html", "<article>", "<div class='story p12'>"), "</article>", "</div><div class='more'>Read on</div>")
+    both = pages.union(pages.where("page_id % 3 = 1").select(F.col("page_id") + 10**6, "url", other))
+    got = {r.page_id: r.text for r in host_paths.extract(both).collect()}
+    assert got == plain_consensus([tuple(r) for r in both.where("html is not null").collect()])
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+
+    for html in ('<div class="a">' * 100_000 + "<p>here", "<span>" * 100_000 + "here", "<ul><li>" * 50_000 + "here", "<p><b>" * 50_000 + "here"):
+        began = time.perf_counter()
+        assert host_paths.extracted(html, None) == "here"
+        assert time.perf_counter() - began < 6
+    assert host_paths.extracted("<a " * 300_000, None) == ("<a " * 300_000).strip()[:-3].strip()
+
+
 def test_pages_against_a_plain_reading(spark, small):
     import html
 
