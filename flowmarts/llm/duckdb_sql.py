@@ -19,13 +19,13 @@ with recursive bits as (
 crc as (select list(v order by i) as tab from bits where k = 8),
 d as (
   select doc_id, source as stratum, strlen(coalesce(text, '')) + 1 as size,
-    md5('17|' || coalesce(doc_id::varchar, '')) as shuffled,
     xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
       lambda x: ('0x' || x)::bigint)), lambda c, b: xor(c // 256, tab[xor(c % 256, b) + 1])), 4294967295) as text_crc32
   from documents, crc),
+e as (select *, md5('17|' || coalesce(doc_id::varchar, '') || '|' || text_crc32 || '|' || size) as shuffled from d),
 r as (
   select *, row_number() over (partition by stratum order by shuffled, doc_id nulls first, text_crc32, size) - 1 as k,
-    count(*) over (partition by stratum) as n, count(*) over () as total from d),
+    count(*) over (partition by stratum) as n, count(*) over () as total from e),
 p as (select *, row_number() over (order by (2 * k + 1) / (2 * n), stratum nulls first, shuffled, doc_id nulls first, text_crc32, size) - 1 as pos from r)
 select doc_id, size, text_crc32, 'rows' as law, (pos * 8 // total)::int as shard,
   pos - ((pos * 8 // total) * total + 7) // 8 as slot, null::int as grown_shard, stratum

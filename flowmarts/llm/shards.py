@@ -8,9 +8,10 @@ cutting it into equal counts gives shards that all match the mixture.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowmarts.llm.common import checkpointed, join_table, ranked, read
+from flowmarts.llm.common import checkpointed, join_table, ranked, read, same
 
 SEED = 17
 SHARDS = 8
@@ -44,7 +45,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, stratum: str
         (F.octet_length(body).cast("long") + 1).alias("size"),
         F.crc32(body).alias("text_crc32"),
     )
-    rows = checkpointed(rows.withColumn("shuffled", shuffle_key(seed, F.col("doc_id"))))
+    rows = checkpointed(rows.withColumn("shuffled", shuffle_key(seed, F.col("doc_id"), F.col("text_crc32"), F.col("size"))))
     counts = checkpointed(rows.groupBy("stratum").agg(F.count("*").alias("n")))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     order = ["shuffled", "doc_id", "text_crc32", "size"]
@@ -59,11 +60,19 @@ def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, stratum: str
 
 
 def write_shards(docs: DataFrame, assigned: DataFrame, path: str) -> None:
-    """Parquet files of ``docs`` under ``path/shard=k``, rows of a file in slot order; ``doc_id`` is a key."""
-    slots = assigned.select(F.col("doc_id").alias("__id"), "shard", "slot")
-    rows = docs.join(slots, docs["doc_id"].cast("long").eqNullSafe(slots["__id"])).drop("__id")
-    rows = rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-    rows.write.partitionBy("shard").mode("errorifexists").parquet(path)
+    """Parquet files of ``docs`` under ``path/shard=k``, rows of a file in slot order.
+
+    A row meets its place by id, CRC and size of its text; rows equal in all three take their places in any order.
+    """
+    key = ["__id", "__crc", "__size"]
+    body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__crc": F.crc32(body), "__size": F.octet_length(body).cast("long") + 1})
+    rows = rows.withColumn("__copy", F.row_number().over(W.partitionBy(*key).orderBy(F.lit(0))))
+    slots = assigned.select(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"), F.col("size").alias("__size"), "shard", "slot")
+    slots = slots.withColumn("__copy", F.row_number().over(W.partitionBy(*key).orderBy("shard", "slot")))
+    placed = rows.join(slots, same(rows, slots, [*key, "__copy"])).select(*docs.columns, "shard", "slot")
+    placed = placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    placed.write.partitionBy("shard").mode("errorifexists").parquet(path)
 
 
 def op8_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,9 +90,20 @@ def test_shards_match_the_mixture(spark):
 
 
 def test_written_shards(spark, odd, tmp_path):
-    docs = odd.dropDuplicates(["doc_id"])
-    shards.write_shards(docs, shards.assign(docs), f"{tmp_path}/out")
-    assert spark.read.parquet(f"{tmp_path}/out").count() == docs.count()
+    """Null and repeated ids and repeated rows take one place each."""
+    docs = odd.union(odd.limit(3)).union(odd.selectExpr("cast(null as bigint)", *odd.columns[1:]))
+    places = shards.assign(docs)
+    shards.write_shards(docs, places, f"{tmp_path}/out")
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(map(str, out.select(*docs.columns).collect())) == sorted(map(str, docs.collect()))
+    assert {(r.shard, r.slot) for r in out.collect()} == {(r.shard, r.slot) for r in places.collect()}
+
+
+def test_rows_with_one_id_are_dealt_by_their_texts(spark):
+    docs = spark.range(9_000).selectExpr("cast(null as bigint) as doc_id", "concat('text ', id) as text", "'s' as source")
+    assert docs.select(shards.shuffle_key(1, F.col("doc_id"), F.crc32(F.col("text").cast("binary")))).distinct().count() > 8_990
+    per_shard = {r.shard: r["count"] for r in shards.assign(docs).groupBy("shard").count().collect()}
+    assert per_shard == {k: 1_125 for k in range(8)}
 
 
 def test_mixing_of_odd_rows(odd):
