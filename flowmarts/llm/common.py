@@ -39,6 +39,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
 
 
+def chosen_by_hash(key: Column, share: float) -> Column:
+    """Whether the 64-bit hash of ``key`` lies in the least ``share`` of all; any share above 2**-64 has rows in a large table."""
+    return F.lit(True) if share >= 1 else F.xxhash64(key) < F.lit(int(share * 2**64) - 2**63)
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once for a row.
 

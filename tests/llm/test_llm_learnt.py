@@ -9,7 +9,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from flowmarts.llm import host_paths, licenses, near_dup, personal_data, sentence_pieces, superminhash, toxicity
+from flowmarts.llm import common, host_paths, licenses, near_dup, personal_data, sentence_pieces, superminhash, toxicity
 from flowmarts.llm.queries import QUERIES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -312,12 +312,15 @@ def test_redaction(spark, private):
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+    """Edits of single letters and swaps of neighbours, no letter edited twice."""
+    table = [[max(i, j) if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            best = min(table[i - 1][j] + 1, table[i][j - 1] + 1, table[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                best = min(best, table[i - 2][j - 2] + 1)
+            table[i][j] = best
+    return table[-1][-1]
 
 
 def test_automata_catch_what_edit_distance_says():
@@ -330,6 +333,8 @@ def test_automata_catch_what_edit_distance_says():
             for _ in range(random.randrange(1, 4)):
                 at = random.randrange(len(word) + 1)
                 word[at : at + random.randrange(2)] = random.choices("abmor", k=random.randrange(2))
+                if random.random() < 0.5 and at + 1 < len(word):
+                    word[at], word[at + 1] = word[at + 1], word[at]
             words.add("".join(word))
     words.discard("")
     got = toxicity.near_terms(sorted(words), toxicity.Trie.of(terms))
@@ -351,10 +356,36 @@ def test_held_out_accuracy(spark):
 def test_quotation_counts_less():
     scorer = toxicity.Scorer({"moron": 7.0}, set())
     texts = ["you moron go away now", 'the critic said he was called a "moron" in print']
-    lists = [toxicity.WORD.findall(t) for t in texts]
+    lists = [t.split() for t in texts]
     scorer.learn(lists)
     abuse, quote = (scorer.features(t, found) for t, found in zip(texts, lists))
-    assert abuse[0] > 2 * quote[0] and abuse[4] > 0 == quote[4]
+    assert abuse[0] > 2 * quote[0] and abuse[3] > 0 == quote[3]
+
+
+def test_lexicon_and_disguises(spark):
+    """On the whole table few clean texts have a hit, and planted disguises of a term are caught."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    weights, innocent = toxicity.learn_lexicon(toxicity.training_rows(docs, labels))
+    clean = docs.join(labels.where("toxic = 0").select("doc_id").distinct(), "doc_id").withColumnRenamed("text", "__text")
+    hits = toxicity.with_features(clean, weights, innocent).agg(F.avg((F.col("features")[0] > 0).cast("int"))).first()[0]
+    assert hits < 0.05
+    disguised = ["id1ot", "st*pid", "m0ron", "idoit", "stuipd", "i_d_i_o_t", "idiooooot", "w0rthl3ss", "tra$h", "scvm", "idiot" + "t" * 90, "pathetic!!", "Moron,"]
+    plain = docs.join(labels.where("toxic = 0").select("doc_id"), "doc_id").orderBy("doc_id").limit(20)
+    rows = [(10**9 + 100 * i + k, f"you are such a {w} and {r.text[:300]}") for i, r in enumerate(plain.collect()) for k, w in enumerate(disguised)]
+    planted = spark.createDataFrame(rows, "doc_id long, text string")
+    scored = toxicity.score(docs.union(planted), labels).where("doc_id >= 1000000000")
+    assert scored.agg(F.avg("predicted")).first()[0] >= 0.9
+
+
+def test_training_rows_exist_at_any_size(spark):
+    """A share of 10^-7 of a table still gives rows: the choice is made on 64 bits of the hash."""
+    rows = spark.range(0, 60_000_000, 1, 8)
+    chosen = rows.where(common.chosen_by_hash(F.col("id"), 1e-7 * 5)).count()
+    assert 5 <= chosen <= 80
+    assert rows.limit(10).where(common.chosen_by_hash(F.col("id"), 1.0)).count() == 10
+    assert rows.where(common.chosen_by_hash(F.col("id"), 2.0**-63)).count() <= 1
 
 
 def test_toxicity_of_odd_rows(spark, odd):
