@@ -59,6 +59,8 @@ def readings(token: str) -> list[tuple[str, int]]:
     """What a token may stand for, with the edits that are spent on it: itself without outer marks, its parts of letters,
     itself without any marks, with letters for the digits and marks that look like them, and without letters said three
     times or more."""
+    if token.isalpha() and not REPEATED.search(token):
+        return [(token, 0)]
     core = OUTER.sub("", token)
     out = {core: 0}
     if not core.isalpha():
