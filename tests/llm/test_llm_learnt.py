@@ -88,6 +88,18 @@ def test_components_of_a_path_and_a_star(spark):
     assert {roots[i] for i in range(101)} == {0} and {roots[i] for i in range(500, 800)} == {500}
 
 
+def test_few_links_take_one_round(spark, monkeypatch):
+    """The links of a small table, dealt over many partitions, are joined without a round per merge of partitions."""
+    links = [(i, i + 1) for i in range(100)] + [(500, 500 + i) for i in range(1, 300)]
+    frame = spark.createDataFrame(links, "a long, b long").repartition(60).checkpoint()
+    written = []
+    monkeypatch.setattr(near_dup, "checkpointed", lambda df: written.append(1) or common.checkpointed(df))
+    roots = {r.node: r.root for r in near_dup.components(frame, at_most=len(links)).collect()}
+    assert {roots[i] for i in range(101)} == {0} and {roots[i] for i in range(500, 800)} == {500} and len(written) == 1
+    monkeypatch.setattr(near_dup, "LINKS_A_TASK", 20)
+    assert {r.node: r.root for r in near_dup.components(frame).collect()} == roots and len(written) > 3
+
+
 def test_signatures_estimate_the_similarity_with_less_variance():
     draw = np.random.default_rng(1)
     errors = []
