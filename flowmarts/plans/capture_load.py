@@ -25,8 +25,8 @@ from flowmarts.session import shared_dir
 from flowmarts.sources.flow_table import conform, save_laid_out
 from flowmarts.sources.raw import read_captures, union_captures
 
-# A file of the table has about so many rows.
-ROWS_PER_FILE = 2_000_000
+# A file of the table has about so many rows, and a task sorts those of one file or a few, whatever the table's size.
+ROWS_PER_FILE = 250_000
 # At most so many digests are broadcast: those of rows with more than a 100,000th of all rows as copies.
 HOT_KEYS = 100_000
 
@@ -120,7 +120,8 @@ def laid_out(keyed: Sequence[DataFrame], counts: DataFrame, types: Mapping[str,
     slots, files = _slots(counts, rows_per_file)
     placed = flows.join(F.broadcast(slots), F.col("date").eqNullSafe(F.col("_date")))
     slot = F.col("_before") + F.pmod(F.xxhash64("_key"), F.col("_parts"))
-    dealt = placed.withColumn("_slot", slot).drop("_date", "_before", "_parts").repartition(files, "_slot")
+    # With four partitions a file few tasks get more than one; AQE joins no partitions that were asked for.
+    dealt = placed.withColumn("_slot", slot).drop("_date", "_before", "_parts").repartition(4 * files, "_slot")
     # Sorted by date for the writer, and inside a file by category; equal rows are neighbours then.
     equal = Window.partitionBy("date", "_slot", "attack_category", "_key").orderBy("_key")
     return dealt.withColumn("_n", F.row_number().over(equal)).where("_n = 1").drop("_n", "_slot", "_key")

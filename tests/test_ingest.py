@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowmarts.operators import ingest
+from flowmarts.plans import capture_load
 from flowmarts.plans.jobs import run_ingest
 from flowmarts.schema import NAME_TO_TYPE
 from flowmarts.sources import flow_table
@@ -323,3 +324,17 @@ def test_nothing_to_load(spark, tmp_path):
     folder = written(tmp_path / "bad", Monday=f"{SHORT}\n1,x,1,Bot\n")
     report = run_ingest(spark, folder, str(tmp_path / "out"))
     assert [tuple(r) for r in report.audit.collect()] == [("Monday.csv", 1, 1, 0, 0)] and report.categories.collect() == []
+
+
+def test_a_task_sorts_few_files(spark):
+    """The files are dealt out, so that no task holds more than the rows of three of them."""
+    raw = spark.range(6_000).selectExpr(
+        "case when id % 3 = 0 then 'Monday-WorkingHours.csv' else 'Tuesday-WorkingHours.csv' end as source_file", "cast(id as string) as flow_id",
+        "'80' as destination_port", "'1' as flow_bytes_s", "'2' as flow_packets_s", "'BENIGN' as label",
+    )
+    keyed = capture_load._keyed(ingest.repaired(raw).withColumn("_at", F.xxhash64("flow_id")), {})
+    counts = capture_load._counts([keyed])
+    table = capture_load.laid_out([keyed], counts, {}, rows_per_file=200)
+    sizes = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 6_000 and len(sizes) >= 24 and max(sizes) < 750, sizes
+    assert capture_load.ROWS_PER_FILE <= 250_000
