@@ -6,7 +6,10 @@ any range of dates comes from the rows of its dates, and no flow is read again.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import date
 from functools import reduce
 
@@ -33,6 +36,9 @@ KEYS = {
     "distinct": [CATEGORY],
 }
 
+# Columns of the flows that any table needs; a frame of counted flows has their weight too.
+_READ = {DATE, CATEGORY, "label", "protocol", "hour", *rollups.MEASURES, *sketches.DISTINCT, WEIGHT}
+
 
 def _merges(name: str) -> list[Column]:
     if name == "traffic_cube":
@@ -89,7 +95,8 @@ class RollupStore:
     def add(self, flows: DataFrame) -> list[date | None]:
         """Roll up the dates of ``flows`` that are new and return them, the null date first.
 
-        The flows of known dates aren't read but for their date, which a table partitioned by it has in its paths. A
+        The flows of known dates aren't read but for their date, which a table partitioned by it has in its paths. Those of
+        new dates are read once: the columns that are needed are kept under ``base`` while the tables are built. A
         date is complete in the flows when it is added. A rerun after a failure replaces the partitions that are there.
         """
         here = {r[0] for r in flows.select(F.col(DATE).cast("date")).distinct().collect()}
@@ -99,11 +106,30 @@ class RollupStore:
         wanted = F.col(DATE).isin([d for d in new if d is not None])
         wanted = wanted | F.col(DATE).isNull() if None in new else wanted
         fresh = flows.withColumn(DATE, F.col(DATE).cast("date")).filter(wanted)
-        for name in KEYS:
-            writer = _per_date(name)(fresh).repartition(DATE, *KEYS[name][-1:]).write.partitionBy(DATE)
-            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self._path(name))
+        with self._staged(fresh.select(*[c for c in fresh.columns if c in _READ])) as rows:
+
+            def write(name: str) -> None:
+                writer = _per_date(name)(rows).repartition(DATE, *KEYS[name][-1:]).write.partitionBy(DATE)
+                writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self._path(name))
+
+            with ThreadPoolExecutor(max_workers=len(KEYS)) as pool:
+                runs = [pool.submit(write, name) for name in KEYS]
+            for run in runs:
+                run.result()
         return new
 
+    @contextmanager
+    def _staged(self, rows: DataFrame) -> Iterator[DataFrame]:
+        """``rows`` as a table that is removed in the end, so that what they come from is computed once for all tables."""
+        path = self._path(f"_staged-{uuid.uuid4().hex}")
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            rows.write.parquet(path)
+            yield self.spark.read.schema(rows.schema).parquet(path)
+        finally:
+            files.delete(folder, True)
+
     def read(self, name: str, first: date | None = None, last: date | None = None) -> DataFrame:
         """The rollup ``name`` of all dates, or of those from ``first`` to ``last``; empty frames need one ``add``."""
         rows = self._rows(name)

@@ -108,3 +108,24 @@ def test_an_empty_store(spark, make_flows, tmp_path):
     dated = make_flows({}).withColumn("date", F.lit(datetime.date(2020, 1, 1)))
     assert store.add(dated.limit(0)) == [] and store.add(dated) == [datetime.date(2020, 1, 1)]
     assert set(KEYS) >= set(rollups.BUILDERS)
+
+
+def test_new_flows_are_computed_once(spark, flows, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    store = RollupStore(spark, str(tmp_path / "store"))
+    dates = sorted(r[0] for r in flows.select("date").distinct().collect())
+    half = flows.filter(F.col("date") <= F.lit(dates[2]))
+    watched = flows.withColumn("flow_bytes_s", counted("flow_bytes_s"))
+    store.add(half)
+    store.add(watched)
+    assert seen.value == flows.count() - half.count()
+    assert sorted(os.listdir(store.base)) == sorted(KEYS)
+    for name in ("category_port", "ip_category"):
+        columns = rollups.BUILDERS[name](flows).columns
+        assert sorted(map(str, store.read(name).select(*columns).collect())) == whole(flows, name)
