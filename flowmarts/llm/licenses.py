@@ -1,7 +1,8 @@
 """Licence scans: a trained paragraph classifier over word n-grams, confirmed by the templates.
 
-Notices of each family, cut and set in prose, are the examples of the families; paragraphs of the corpus are
-those of the unknown class, bar the ones that look like a notice. A logistic regression with an L1 penalty over
+Notices of each family, cut and set in prose, are the examples of the families; all paragraphs of the corpus are
+those of the unknown class, bar the ones that look like a notice. Paragraphs that share the same n-grams with notices
+are counted first, so that training takes one weighted row for them. A logistic regression with an L1 penalty over
 words and word pairs gives sparse weights. Scoring explodes the hashed n-grams of all paragraphs, joins them with
 the weights, whose number is bounded by the notices', and adds up per paragraph: the partial sums leave one row
 per paragraph for the shuffle. A family is accepted above a threshold calibrated on held-out paragraphs of the
@@ -15,14 +16,16 @@ import re
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmarts.llm.common import checkpointed, chosen_by_hash, let, read
+from flowmarts.llm.common import checkpointed, let, read
 
 UNKNOWN = "unknown"
-NEGATIVES = 6_000
+CORPUS_WEIGHT = 4_000
 FALSE_SHARE = 0.001
+STEPS = 10_000
 SIMILAR = 0.6
 LOOKS_LIKE = 0.5
 PROSE = 20
@@ -143,10 +146,14 @@ def notices(spark: SparkSession) -> DataFrame:
     return parsed.select("r.*")
 
 
+def distinct_words(families: list[str]) -> list[list[str]]:
+    """The distinct words of each notice of the families."""
+    return [sorted(set(re.findall(r"[^\W_]+", n.lower()))) for f in families for n in NOTICES[f]]
+
+
 def known_words(families: list[str]) -> Column:
     """Constant: the distinct words of each notice of the families."""
-    lists = [sorted(set(re.findall(r"[^\W_]+", n.lower()))) for f in families for n in NOTICES[f]]
-    return F.from_json(F.lit(json.dumps(lists)), "array<array<string>>")
+    return F.from_json(F.lit(json.dumps(distinct_words(families))), "array<array<string>>")
 
 
 def nearest_of(words: Column, family: str) -> Column:
@@ -166,22 +173,50 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return lines.where(F.col("line").rlike(r"[\p{L}\p{N}]"))
 
 
-def examples(docs: DataFrame, most: int = NEGATIVES) -> DataFrame:
-    """``line, family, held``: notices whole, cut and set in prose; lines of at most about ``most`` documents.
+def notice_grams(spark: SparkSession) -> list[tuple[str, int]]:
+    """The n-grams of all notices in order, each with its hash; bounded by the notices above."""
+    found = notices(spark).select(F.explode(grams(F.col("notice"))).alias("g")).distinct()
+    pair = F.split("g", " ")
+    return sorted((r.g, r.h) for r in found.select("g", F.xxhash64(pair[0], F.coalesce(F.get(pair, F.lit(1)), F.lit(""))).alias("h")).collect())
+
+
+def shared_grams(text: Column, known: list[tuple[str, int]]) -> Column:
+    """The hashes of a text's n-grams that a notice has, in order."""
+    return F.sort_array(F.array_intersect(hashed_grams(text), F.lit([h for _, h in known])))
 
-    A document gives one line, both chosen by hashes. Lines like a notice are left out.
+
+def corpus_vectors(docs: DataFrame, known: list[tuple[str, int]]) -> DataFrame:
+    """``grams, held, n, least``: all lines of all documents, counted by the n-grams they share with notices.
+
+    Lines like a notice are left out. ``least`` is the least hash of such lines. Equal lines are all held out or none.
+    """
+    hashes = dict(known)
+    families = [[hashes[x] for x in words] for words in distinct_words(FAMILIES)]
+    longest = max(len(words) for words in families)
+    lines = paragraphs(docs).select("line", F.xxhash64("line").alias("h"))
+    # More words than the longest notice has change no overlap.
+    size = F.least(F.size(F.array_distinct(terms(F.col("line")))), F.lit(longest))
+    keys = [shared_grams(F.col("line"), known).alias("grams"), size.alias("words"), (F.pmod("h", F.lit(3)) == 0).alias("held")]
+    counted = lines.select(*keys, "h").groupBy("grams", "words", "held").agg(F.count("*").alias("n"), F.min("h").alias("least"))
+    # Written first: the filter below would otherwise be evaluated for every line, with the n-grams for every notice.
+    counted = checkpointed(counted)
+    notice = F.from_json(F.lit(json.dumps(families)), "array<array<bigint>>")
+
+    def near(k: Column) -> Column:
+        return F.size(F.array_intersect("grams", k)) / F.least(F.col("words"), F.size(k)) >= LOOKS_LIKE
+
+    like = (F.col("words") >= 3) & F.exists(notice, near)
+    return counted.where(~like).groupBy("grams", "held").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
+
+
+def examples(docs: DataFrame, known: list[tuple[str, int]]) -> DataFrame:
+    """``grams, family, held, n``: notices whole, cut and set in prose, and all lines of the corpus that aren't like one.
+
+    ``grams`` are those of ``known``, and ``n`` is the number of lines that share these; nothing is sampled.
     """
     spark = docs.sparkSession
     given = notices(spark)
-    share = min(1.0, most / max(docs.count(), 1))
-    rows = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text")).where(chosen_by_hash(F.col("text"), share))
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]"))
-    picked = rows.select(F.xxhash64("text").alias("h"), lines.alias("lines")).where(F.size("lines") > 0)
-    picked = picked.select("h", F.get("lines", F.pmod("h", F.size("lines")).cast("int")).alias("line"))
-    words = F.array_distinct(terms(F.col("line")))
-    like = let(words, lambda w: F.exists(known_words(FAMILIES), lambda k: (F.size(w) >= 3) & (overlap(w, k) >= LOOKS_LIKE)))
-    zeros = picked.where(~like).select("line", F.lit(UNKNOWN).alias("family"), (F.pmod("h", F.lit(3)) == 0).alias("held"))
-    zeros = checkpointed(zeros)
+    zeros = checkpointed(corpus_vectors(docs, known).sortWithinPartitions("grams", "held"))
 
     def part(first: float, last: float) -> Column:
         w = F.split("notice", " ")
@@ -192,41 +227,58 @@ def examples(docs: DataFrame, most: int = NEGATIVES) -> DataFrame:
     cut = [part(a, b) for a, b in ((0.0, 0.7), (0.2, 1.0), (0.1, 0.9))]
     # Cuts of short notices lose the family's name.
     variants = F.when(F.size(F.split("notice", " ")) >= 8, F.array(*whole, *cut)).otherwise(F.array(*whole))
-    ones = given.select("family", F.explode(variants).alias("line")).select("line", "family", F.lit(False).alias("held"))
-    prose = [x.prose for x in zeros.where(~F.col("held")).select(F.substring("line", 1, 60).alias("prose")).orderBy("prose").take(PROSE)]
-    if prose:
+    ones = given.select("family", F.explode(variants).alias("line"))
+    # The prose around a notice: lines of the lowest hashes.
+    least = [r.least for r in zeros.where("not held").orderBy("least").select("least").take(PROSE)]
+    if least:
+        told = paragraphs(docs).where(F.xxhash64("line").isin(least)).select(F.substring("line", 1, 60).alias("prose")).distinct()
+        prose = [r.prose for r in told.orderBy("prose").collect()]
         before = F.get(F.array(*[F.lit(x) for x in prose]), F.pmod(F.xxhash64("notice"), F.lit(len(prose))).cast("int"))
-        around = F.concat_ws(" ", before, F.col("notice"))
-        ones = ones.union(given.select(around.alias("line"), "family", F.lit(False).alias("held")))
-    return checkpointed(ones.union(zeros))
+        ones = ones.union(given.select("family", F.concat_ws(" ", before, F.col("notice"))))
+    ones = ones.select(shared_grams(F.col("line"), known).alias("grams"), "family", F.lit(False).alias("held"), F.lit(1).cast("long").alias("n"))
+    return checkpointed(ones.union(zeros.select("grams", F.lit(UNKNOWN), "held", "n")))
 
 
 class Classifier:
-    """Weights of the n-grams, a row of ``UNKNOWN`` and the families each, and the threshold of acceptance."""
+    """Weights of the n-grams, a row of ``UNKNOWN`` and the families each, and the threshold of acceptance.
+
+    Both come from all lines. Lines of the corpus that share the same n-grams are one row with their number as weight,
+    and all of them together weigh ``CORPUS_WEIGHT`` at most, so that a large corpus doesn't drown the notices.
+    """
 
-    def __init__(self, docs: DataFrame, most: int = NEGATIVES) -> None:
+    def __init__(self, docs: DataFrame) -> None:
         self.spark = docs.sparkSession
-        rows = examples(docs, most)
-        known = notices(self.spark).select(F.explode(grams(F.col("notice"))).alias("g")).distinct()
-        self.vocabulary = sorted(r.g for r in known.collect())  # bounded by the notices above
+        known = notice_grams(self.spark)
+        rows = examples(docs, known)
+        self.vocabulary = [g for g, _ in known]
         self.classes = [UNKNOWN, *FAMILIES]
         index = F.array_position(F.array(*[F.lit(c) for c in self.classes]), F.col("family")).cast("double") - 1
-        counted = CountVectorizerModel.from_vocabulary(self.vocabulary, "grams", "counts", binary=True)
-        shown = counted.transform(rows.select(grams(F.col("line")).alias("grams"), index.alias("label"), "held"))
-        fitted = shown.where("not held").withColumn("weight", F.when(F.col("label") == 0, 1.0).otherwise(4.0))
-        scaled = Normalizer(inputCol="counts", outputCol="x", p=2.0).transform(fitted)
+        counted = CountVectorizerModel.from_vocabulary([str(h) for _, h in known], "grams", "counts", binary=True)
+        shown = counted.transform(rows.select(F.col("grams").cast("array<string>").alias("grams"), index.alias("label"), "held", "n"))
+        scaled = Normalizer(inputCol="counts", outputCol="x", p=2.0).transform(shown)
+        sizes = {r.held: r.n for r in shown.where("label = 0").groupBy("held").agg(F.sum("n").alias("n")).collect()}
+        share = min(1.0, CORPUS_WEIGHT / sizes.get(False, 1))
+        fitted = scaled.where("not held").withColumn("weight", F.when(F.col("label") == 0, F.col("n") * share).otherwise(4.0))
         fit = LogisticRegression(
             featuresCol="x", labelCol="label", weightCol="weight", family="multinomial", regParam=0.0005, elasticNetParam=0.5, standardization=False, maxIter=60
         )
-        self.model: LogisticRegressionModel = fit.fit(scaled)
+        self.model: LogisticRegressionModel = fit.fit(fitted)
         self.threshold = 0.5
-        held = rows.where("held").select(F.lit(0).cast("long").alias("doc_id"), F.xxhash64("line").alias("text_hash"), F.lit(0).alias("paragraph"), "line")
-        n = held.count()
-        if n:
-            ranked = self.scored(held).select("probability").orderBy(F.desc("probability")).limit(int(n * FALSE_SHARE) + 1)
-            worst = [r.probability for r in ranked.collect()]
-            if len(worst) > int(n * FALSE_SHARE):
-                self.threshold = min(max(0.5, worst[-1] + 1e-9), 0.9)
+        if sizes.get(True):
+            judged = self.model.transform(scaled.where("held")).select("n", F.array_max(F.slice(vector_to_array("probability"), 2, len(FAMILIES))).alias("p"))
+            bins = judged.where("p >= 0.5").groupBy(F.floor(F.col("p") * STEPS).alias("bin")).agg(F.sum("n").alias("n"))
+            self.threshold = self.calibrated({r.bin: r.n for r in bins.collect()}, int(sizes[True] * FALSE_SHARE))
+
+    @staticmethod
+    def calibrated(bins: dict[int, int], allowed: int) -> float:
+        """The least threshold from 0.5 to 0.9, in steps, that at most ``allowed`` held-out lines reach."""
+        reached, least = 0, STEPS // 2
+        for k in sorted(bins, reverse=True):
+            reached += bins[k]
+            if reached > allowed:
+                least = k + 1
+                break
+        return min(least / STEPS, 0.9)
 
     def weights(self) -> DataFrame:
         """``gram, w``: the hash of an n-gram and its weights per class; n-grams without weight are kept, they count
@@ -255,7 +307,7 @@ class Classifier:
         return chosen.select(*keys, family.alias("family"), (F.exp(F.col("best") - F.array_max("z")) / total).alias("probability"))
 
 
-def scan(docs: DataFrame, most: int = NEGATIVES) -> DataFrame:
+def scan(docs: DataFrame) -> DataFrame:
     """A row per accepted paragraph: ``doc_id, text_hash, paragraph`` (line number from 0)``, line, family,
     probability, similarity, confirmed``.
 
@@ -263,7 +315,7 @@ def scan(docs: DataFrame, most: int = NEGATIVES) -> DataFrame:
     one document. Without any line in the corpus nothing is accepted.
     """
     lines = paragraphs(docs)
-    judge = Classifier(docs, most)
+    judge = Classifier(docs)
     found = checkpointed(judge.scored(lines).where(F.col("probability") >= judge.threshold))
     few = found.count() <= 1_000_000
     hits = F.broadcast(found) if few else found
@@ -277,10 +329,10 @@ def scan(docs: DataFrame, most: int = NEGATIVES) -> DataFrame:
     return out.withColumn("confirmed", F.col("similarity") >= SIMILAR)
 
 
-def licences(docs: DataFrame, most: int = NEGATIVES) -> DataFrame:
+def licences(docs: DataFrame) -> DataFrame:
     """A row per document: ``doc_id``, ``licences`` (confirmed families in order, joined by commas; empty if none),
     ``n_confirmed``, ``n_unconfirmed`` and ``probability``, the highest of its paragraphs or 0."""
-    found = scan(docs, most)
+    found = scan(docs)
     per = found.groupBy("doc_id", "text_hash").agg(
         F.array_join(F.sort_array(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("licences"),
         F.sum(F.col("confirmed").cast("long")).alias("n_confirmed"),

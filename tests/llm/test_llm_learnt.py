@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -422,3 +423,19 @@ def test_licences_of_odd_rows(odd):
     rows = licenses.licences(odd).collect()
     assert len(rows) == odd.count() and all(r.licences == "" for r in rows)
     assert licenses.licences(odd.limit(0)).collect() == []
+
+
+def test_licence_training_takes_every_line(spark):
+    """Each line counts, by the words and pairs it shares with a notice; lines like a notice and lines without words don't."""
+    lines = [f"number {i} of the old wheels turns slowly" for i in range(40)] + ["roses and thorns grow tall here", "Moon 77 rises", "", " - "] * 5
+    docs = spark.createDataFrame([(i, "\n".join([*lines, "Licensed under the MIT license."])) for i in range(3)], "doc_id long, text string")
+    known = licenses.notice_grams(spark)
+    by_hash = {h: g for g, h in known}
+    found = Counter()
+    for r in licenses.examples(docs, known).where("family = 'unknown'").collect():
+        found[tuple(sorted(by_hash[h] for h in r.grams))] += r.n
+    want = Counter()
+    for line in [x for x in lines if re.search(r"\w", x)] * 3:
+        w = line.lower().split()
+        want[tuple(sorted({*w, *map(" ".join, zip(w, w[1:], strict=False))} & set(by_hash.values())))] += 1
+    assert found == want and sum(want.values()) == 3 * 50
