@@ -2,7 +2,7 @@
 
 The four base formats are always redacted. Beyond them, generators with a high recall propose spans: addresses
 with words for their marks, numbers with unusual separators, telephone numbers without a plus. Boosted trees,
-trained on the base spans of a bounded sample, on rewritten copies of them and on the candidates that no format
+trained on rewritten copies of the base spans of all documents and on the candidates that no format
 bears out, score each proposal by its form and by the words before it. Thresholds per kind are set where
 held-out precision reaches 90 in a hundred. All of it is built-in functions on columns.
 """
@@ -17,10 +17,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmarts.llm.common import checkpointed, chosen_by_hash, let, read
+from flowmarts.llm.common import checkpointed, let, read
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_DOCS = 20_000
 TREES, DEPTH, SEED = 10, 3, 7
 PRECISION = 0.9
 LEAST_HELD_OUT = 3
@@ -192,20 +191,18 @@ def overlaps(s: Column, others: Column) -> Column:
     return F.exists(others, lambda o: (o.start < s.end) & (s.start < o.end))
 
 
-def examples(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
-    """``features, label, kind`` from at most about ``most`` documents, chosen by a hash of their text.
+def examples(docs: DataFrame) -> DataFrame:
+    """``features, label, kind, draw, n`` from all documents; ``n`` is the number of equal examples, which are one row.
 
     Ones: rewritten base spans in their place, a third of them after a word that announces them. Zeros: proposals
     that touch no base span, that nothing announces, and that aren't an item of their kind once unusual marks are
     read as the usual ones; proposals that fail these have no label.
     """
     texts = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    share = min(1.0, most / max(docs.count(), 1))
-    chosen = checkpointed(texts.where(chosen_by_hash(F.col("text"), share)))
     parts = []
     for kind in KINDS:
         before = F.substring("text", F.greatest(F.col("s.start") - BEFORE, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(BEFORE)))
-        based = chosen.select("text", base_spans(F.col("text"), kind).alias("base"))
+        based = texts.select("text", base_spans(F.col("text"), kind).alias("base"))
         ones = based.select("text", F.explode("base").alias("s")).select(
             rewritten(kind, F.col("s.hit"), F.pmod(F.xxhash64("s.hit"), F.lit(97))).alias("hit"),
             F.when(F.pmod(F.xxhash64("s.hit", F.lit(1)), F.lit(3)) == 0, F.concat(before, F.lit(CUE_WORDS[kind]))).otherwise(before).alias("before"),
@@ -213,7 +210,7 @@ def examples(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
             F.lit(1.0).alias("label"),
         )
         every = F.concat(*[base_spans(F.col("text"), k) for k in KINDS])
-        proposed = chosen.select(candidates(F.col("text"), kind).alias("found"), every.alias("base"))
+        proposed = texts.select(candidates(F.col("text"), kind).alias("found"), every.alias("base"))
         zeros = proposed.select(F.explode("found").alias("s"), "base").where(~overlaps(F.col("s"), F.col("base")))
         zeros = zeros.where(~written_out(kind, F.col("s.hit")) & ~F.col("s.before").rlike(CUES[kind]))
         zeros = zeros.select("s.hit", "s.before", "s.after", F.lit(0.0).alias("label"))
@@ -223,7 +220,8 @@ def examples(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
         out = out.union(part)
-    return checkpointed(out.repartition("draw"))
+    counted = out.groupBy("features", "label", "kind", "draw").agg(F.count("*").alias("n"))
+    return checkpointed(counted.repartition("draw"))
 
 
 def as_column(model: GBTClassificationModel, features: Column) -> Column:
@@ -249,17 +247,17 @@ def as_column(model: GBTClassificationModel, features: Column) -> Column:
 class Judge:
     """Trees and thresholds; without examples of both labels nothing is added to the base spans."""
 
-    def __init__(self, docs: DataFrame, most: int = TRAIN_DOCS) -> None:
+    def __init__(self, docs: DataFrame) -> None:
         self.thresholds: dict[str, float] = {}
-        rows = examples(docs, most)
+        rows = examples(docs)
         fitting = rows.where(F.pmod("draw", F.lit(4)) > 0)
         kinds = {r.label for r in fitting.select("label").distinct().collect()}
         if kinds != {0.0, 1.0}:
             return
-        fit = GBTClassifier(featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED)
+        fit = GBTClassifier(featuresCol="x", labelCol="label", weightCol="n", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED)
         self.model = fit.fit(fitting.withColumn("x", array_to_vector("features")))
         held = rows.where(F.pmod("draw", F.lit(4)) == 0).withColumn("p", as_column(self.model, F.col("features")))
-        bins = held.groupBy("kind", F.floor(F.col("p") * 100).alias("bin")).agg(F.sum("label").alias("ones"), F.count("*").alias("n")).collect()
+        bins = held.groupBy("kind", F.floor(F.col("p") * 100).alias("bin")).agg(F.sum(F.col("label") * F.col("n")).alias("ones"), F.sum("n").alias("n")).collect()
         pooled = self.calibrated(bins)
         for kind in KINDS:
             own = [r for r in bins if r.kind == kind]
@@ -301,7 +299,7 @@ def listed(spans: list[tuple[str, Column]]) -> Column:
     return F.array_join(F.concat(*[named(kind, column) for kind, column in spans]), ",")
 
 
-def find(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
+def find(docs: DataFrame) -> DataFrame:
     """``docs`` with ``found``: a struct of the lists ``email, ip, card, phone`` of base spans and ``added_*`` of
     further ones, each span with ``start``, ``end`` (exclusive, code points) and ``hit``.
 
@@ -309,7 +307,7 @@ def find(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
     redaction takes their union. A column called ``found`` is replaced; an empty table gives an empty result.
     """
     docs = docs.drop("found")
-    judge = Judge(docs, most)
+    judge = Judge(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def whole(base: Column) -> Column:
@@ -325,9 +323,9 @@ def find(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
     return docs.withColumn("found", let(base, whole))
 
 
-def redact(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
+def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every found span replaced by its kind in brackets."""
-    found = find(docs, most)
+    found = find(docs)
 
     def tagged(name: str) -> Column:
         tag = F.lit(f"[{name.removeprefix('added_')}]").alias("tag")
@@ -345,9 +343,9 @@ def redact(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
     return found.withColumn("text", rest).drop("found")
 
 
-def digest(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
+def digest(docs: DataFrame) -> DataFrame:
     """``doc_id``, the numbers of base spans, ``base_sha256``, ``spans`` (all of them) and ``n_added``."""
-    found = find(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), most)
+    found = find(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     base = [(k, F.col(f"found.{k}")) for k in KINDS]
     every = [(k, F.concat(F.col(f"found.{k}"), F.col(f"found.added_{k}"))) for k in KINDS]
     return found.select(

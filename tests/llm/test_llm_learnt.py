@@ -321,6 +321,12 @@ def test_redaction(spark, private):
     assert personal_data.digest(private.limit(0)).collect() == []
 
 
+def test_trees_learn_from_every_document(spark):
+    docs = spark.range(30_000).selectExpr("id as doc_id", "concat('write to user', id % 25000, '@mail.example.com now') as text")
+    ones = personal_data.examples(docs).where("label = 1")
+    assert ones.agg(F.sum("n")).first()[0] == 30_000 and ones.count() == 25_000
+
+
 # -- toxicity -----------------------------------------------------------------------
 
 
